@@ -6,21 +6,23 @@ them. Modulo rules plant missing values, exact copies and unknown codes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivals_engine.functions.dates import DAY_ZERO
 
 
-@dataclass(frozen=True)
 class Tables:
-    spark: SparkSession
-    sf_dir: str
+    """The test tables of one directory as attributes, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, frame)
+        return frame
 
 
 def _unless(divisor: int, value: Column) -> Column:

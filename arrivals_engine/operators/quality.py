@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from arrivals_engine import schemas
 
 
+PUBLISH_CHECKS = ("row_count", "unique_key", "required")
+# "fit" also counts values too long or too large for their column. Staged visits
+# are held to the column lengths when written, so they need no second look.
+ALL_CHECKS = PUBLISH_CHECKS + ("fit",)
+
+
 class QualityError(Exception):
     """A batch that must not be published."""
 
@@ -48,42 +54,39 @@ def _does_not_fit(column: schemas.Column) -> Column | None:
     return None
 
 
-def table_report(rows: DataFrame, table: schemas.Table, fit: bool = False) -> DataFrame:
+def table_report(
+    rows: DataFrame, table: schemas.Table, checks: tuple[str, ...] = PUBLISH_CHECKS
+) -> DataFrame:
     """One row per check of a table: check_name, table_name, subject, value, passed.
 
-    All checks share one scan and one shuffle of the key: rows are counted per key
-    first (partly before the shuffle, so a very frequent key is no burden), and the
-    per-key counts are summed. With fit=True also counts the values that are too
-    long or too large for their column.
+    All checks share one scan. For the key check rows are counted per key first,
+    partly before the shuffle so that a very frequent key is no burden, and the
+    other counts ride along; without it nothing is shuffled but the totals.
     """
-    problems: dict[tuple[str, str], Column] = {
-        ("required", name): F.col(name).isNull() for name in table.required
-    }
-    if fit:
+    problems: dict[tuple[str, str], Column] = {}
+    if "required" in checks:
+        problems |= {("required", name): F.col(name).isNull() for name in table.required}
+    if "fit" in checks:
         for column in table.columns:
             bad = _does_not_fit(column)
             if bad is not None:
                 problems["fit", column.name] = bad
 
-    per_key = rows.groupBy(*table.key).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *(
-            F.count_if(bad).alias(f"_{check}_{name}")
-            for (check, name), bad in problems.items()
-        ),
-    )
-
-    def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
-
-    totals = per_key.agg(
-        total(F.col("_rows")).alias("_rows"),
-        total(F.col("_rows") - 1).alias("_surplus"),
-        *(
-            total(F.col(f"_{check}_{name}")).alias(f"_{check}_{name}")
-            for check, name in problems
-        ),
-    )
+    counted = [F.count(F.lit(1)).alias("_rows")] + [
+        F.count_if(bad).alias(f"_{check}_{name}") for (check, name), bad in problems.items()
+    ]
+    if "unique_key" in checks:
+        per_key = rows.groupBy(*table.key).agg(*counted)
+        summed = {name: F.col(name) for name in per_key.columns if name not in table.key}
+        summed["_surplus"] = F.col("_rows") - 1
+        totals = per_key.agg(
+            *(
+                F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(name)
+                for name, value in summed.items()
+            )
+        )
+    else:
+        totals = rows.agg(*counted)
 
     def line(check: str, subject: str, value: str, passed: Column) -> Column:
         return F.struct(
@@ -94,13 +97,16 @@ def table_report(rows: DataFrame, table: schemas.Table, fit: bool = False) -> Da
             passed.alias("passed"),
         )
 
-    lines = [
-        line("row_count", "", "_rows", F.col("_rows") > 0),
-        line("unique_key", ",".join(table.key), "_surplus", F.col("_surplus") == 0),
-    ] + [
-        line(check, name, f"_{check}_{name}", F.col(f"_{check}_{name}") == 0)
-        for check, name in problems
-    ]
+    lines = []
+    if "row_count" in checks:
+        lines.append(line("row_count", "", "_rows", F.col("_rows") > 0))
+    if "unique_key" in checks:
+        lines.append(
+            line("unique_key", ",".join(table.key), "_surplus", F.col("_surplus") == 0)
+        )
+    for check, name in problems:
+        value = f"_{check}_{name}"
+        lines.append(line(check, name, value, F.col(value) == 0))
     return totals.select(F.inline(F.array(*lines)))
 
 
@@ -109,9 +115,9 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def batch_report(
-    tables: list[tuple[DataFrame, schemas.Table]], fit: bool = False
+    tables: list[tuple[DataFrame, schemas.Table]], checks: tuple[str, ...] = PUBLISH_CHECKS
 ) -> DataFrame:
-    return union_all([table_report(rows, table, fit) for rows, table in tables])
+    return union_all([table_report(rows, table, checks) for rows, table in tables])
 
 
 def collision_report(

@@ -200,6 +200,19 @@ REQUIRED = " UNION ALL ".join(
     for column in columns
 ).replace("""'"count"'""", "'count'")
 
+FIT = " UNION ALL ".join(
+    f"""SELECT 'fit' AS check_name, 'state_demographics' AS table_name, '{column}' AS subject,
+        CAST(count(*) FILTER ({bad}) AS BIGINT) AS value, count(*) FILTER ({bad}) = 0 AS passed
+        FROM measured"""
+    for column, bad in (
+        ("city", "length(city) > 256"),
+        ("state_code", "length(state_code) > 2"),
+        ("state", "length(state) > 256"),
+        ("median_age", "abs(median_age) >= 99.95"),
+        ("average_household_size", "abs(average_household_size) >= 99.995"),
+    )
+)
+
 FACT = "SELECT * FROM visitor_analysis"
 
 # Queries over the star; each is put behind the common table expressions above.
@@ -269,6 +282,7 @@ OVER_STAR = {
     "dq_row_counts": ROW_COUNTS,
     "dq_unique_keys": UNIQUE_KEYS,
     "dq_required": REQUIRED,
+    "dq_fit": FIT,
     "lookup_csv_roundtrip": """
         SELECT port_city, port_state_code, dest_state_code, dest_state_name, origin_country,
                count(*) AS visitor_cnt FROM decoded GROUP BY ALL""",

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from arrivals_engine import schemas
 from arrivals_engine.operators.decode import Lookups
-from arrivals_engine.operators.quality import batch_report, collision_report, gate, union_all
+from arrivals_engine.operators.quality import (
+    ALL_CHECKS,
+    PUBLISH_CHECKS,
+    batch_report,
+    collision_report,
+    gate,
+    union_all,
+)
 from arrivals_engine.plans import star
 from arrivals_engine.sources import tables
 from arrivals_engine.sources.readers import read_typed_json
@@ -50,6 +57,15 @@ def stage_visits(
     return staged_batch(spark, db)
 
 
+def export_json(batch: Batch, directory: str) -> list[str]:
+    """Fact, visitors and dates as JSON lines, one sub-directory each; returns them."""
+    paths = []
+    for rows, table in batch.tables():
+        paths.append(f"{directory.rstrip('/')}/{table.name}")
+        tables.write_json(rows, paths[-1])
+    return paths
+
+
 def json_batch(
     spark: SparkSession, fact_path: str, visitors_path: str, arrival_date_path: str
 ) -> Batch:
@@ -62,7 +78,11 @@ def json_batch(
 
 
 def publish_batch(
-    spark: SparkSession, db: str, batch: Batch, mode: str = "replace", fit: bool = False
+    spark: SparkSession,
+    db: str,
+    batch: Batch,
+    mode: str = "replace",
+    checks: tuple[str, ...] = PUBLISH_CHECKS,
 ) -> None:
     """Checks a batch as a whole and only then puts it into the final tables.
 
@@ -73,7 +93,7 @@ def publish_batch(
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode is 'replace' or 'append', not {mode!r}")
-    report = batch_report(batch.tables(), fit)
+    report = batch_report(batch.tables(), checks)
     if mode == "append":
         report = union_all(
             [report]
@@ -122,7 +142,7 @@ def publish_json(
 ) -> None:
     """From three directories of JSON lines to the final tables."""
     batch = json_batch(spark, fact_path, visitors_path, arrival_date_path)
-    publish_batch(spark, db, batch, mode, fit=True)
+    publish_batch(spark, db, batch, mode, ALL_CHECKS)
 
 
 def refresh_demographics(
@@ -136,7 +156,7 @@ def refresh_demographics(
     ):
         tables.replace_rows(spark, rows, f"{db}.{stage.name}")
         staged.append((spark.table(f"{db}.{stage.name}"), table))
-    gate(batch_report(staged, fit=True))
+    gate(batch_report(staged, ALL_CHECKS))
     (staged_totals, _), (staged_races, _) = staged
     tables.replace_rows(
         spark, star.narrow_totals(staged_totals), f"{db}.{schemas.STATE_DEMOGRAPHICS.name}"
