@@ -1,0 +1,224 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from helpers import arrivals, lookups, plan, rows
+
+from arrivals_engine import schemas
+from arrivals_engine.catalogue import new_warehouse
+from arrivals_engine.operators.quality import QualityError
+from arrivals_engine.plans import publish, reports
+from arrivals_engine.sources import tables
+
+
+@pytest.fixture
+def db(spark):
+    name = new_warehouse(spark)
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def load(spark, db, *changes, **options):
+    publish.publish_month(spark, db, arrivals(spark, *changes), lookups(spark), **options)
+
+
+def ids(spark, db, table="visitor_analysis"):
+    return sorted(r.admission_id for r in spark.table(f"{db}.{table}").collect())
+
+
+MARCH = {"i94mon": 3.0, "arrdate": 20520.0}
+
+
+def test_tables_and_views_are_made_and_dropped(spark, db):
+    made = {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()}
+    wanted = {t.name for t in schemas.FINAL_TABLES + schemas.STAGE_TABLES} | set(schemas.STAGE_VIEWS)
+    assert made == wanted
+    tables.drop_tables(spark, db)
+    tables.drop_tables(spark, db)
+    assert spark.sql(f"SHOW TABLES IN {db}").count() == 0
+
+
+def test_tables_have_the_declared_columns(spark, db):
+    for table in schemas.FINAL_TABLES + schemas.STAGE_TABLES:
+        assert sorted(spark.table(f"{db}.{table.name}").columns) == sorted(table.names)
+    for view, table in schemas.STAGE_VIEWS.items():
+        assert spark.table(f"{db}.{view}").columns == table.names
+
+
+def test_all_three_tables_are_published(spark, db):
+    load(spark, db, {}, {"admnum": 2.0} | MARCH)
+    assert ids(spark, db) == ids(spark, db, "visitors") == [1, 2]
+    found = spark.table(f"{db}.arrival_date").select("year", "month", "day", "weekday", "weeknum")
+    assert rows(found) == [(2016, 2, 1, 2, 5), (2016, 3, 7, 2, 10)]
+
+
+def test_replacing_a_month_twice_changes_nothing(spark, db):
+    load(spark, db, {}, {"arrdate": None, "admnum": 2.0})
+    before = {t.name: rows(spark.table(f"{db}.{t.name}")) for t in schemas.FINAL_TABLES}
+    load(spark, db, {}, {"arrdate": None, "admnum": 2.0})
+    assert before == {t.name: rows(spark.table(f"{db}.{t.name}")) for t in schemas.FINAL_TABLES}
+
+
+def test_replacing_leaves_other_months_alone(spark, db):
+    load(spark, db, {}, {"admnum": 2.0} | MARCH)
+    load(spark, db, {"admnum": 3.0} | MARCH, {"admnum": 4.0} | MARCH, single_month=True)
+    assert ids(spark, db) == ids(spark, db, "visitors") == [1, 3, 4]
+
+
+def test_a_date_that_comes_again_is_kept_once(spark, db):
+    load(spark, db, {"arrdate": None})
+    load(spark, db, {"arrdate": None, "i94mon": 3.0, "admnum": 2.0})
+    assert spark.table(f"{db}.arrival_date").count() == 1
+
+
+def test_append_adds_to_a_month(spark, db):
+    load(spark, db, {}, mode="append")
+    load(spark, db, {"admnum": 2.0}, mode="append")
+    assert ids(spark, db) == [1, 2]
+
+
+def test_append_refuses_published_keys(spark, db):
+    load(spark, db, {}, mode="append")
+    with pytest.raises(QualityError, match="visitor_analysis: new_key"):
+        load(spark, db, {}, {"admnum": 2.0}, mode="append")
+    assert ids(spark, db) == [1]
+
+
+def test_unknown_mode_is_refused(spark, db):
+    with pytest.raises(ValueError):
+        load(spark, db, {}, mode="merge")
+
+
+@pytest.mark.parametrize(
+    ("bad", "check"),
+    [
+        ({"gender": "M"}, "unique_key"),
+        ({"admnum": 2.0, "i94yr": None}, "required"),
+        ({"admnum": 2.0, "i94mon": None}, "required"),
+    ],
+)
+def test_a_bad_batch_is_kept_out_whole_and_stays_staged(spark, db, bad, check):
+    load(spark, db, {"visatype": "B1"}, {"admnum": 9.0} | MARCH)
+    before = rows(spark.table(f"{db}.visitors"))
+    with pytest.raises(QualityError, match=check):
+        load(spark, db, {}, bad, {"admnum": 7.0} | MARCH)
+    assert rows(spark.table(f"{db}.visitors")) == before
+    assert ids(spark, db) == [1, 9]
+    assert spark.table(f"{db}.stage_visitor_analysis").count() == 3
+
+
+def test_an_empty_batch_is_kept_out(spark, db):
+    load(spark, db, {})
+    with pytest.raises(QualityError, match="row_count"):
+        load(spark, db, {"admnum": None})
+    assert ids(spark, db) == [1]
+
+
+def test_a_value_too_long_for_its_column_fails_while_staging(spark, db):
+    load(spark, db, {})
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load(spark, db, {"admnum": 2.0, "visatype": "12345678901"})
+    assert ids(spark, db) == [1]
+
+
+def test_session_overwrite_mode_is_put_back(spark, db):
+    before = spark.conf.get(tables.OVERWRITE_MODE)
+    load(spark, db, {})
+    assert spark.conf.get(tables.OVERWRITE_MODE) == before
+
+
+def test_staging_is_one_scan_of_the_input(spark, db):
+    """Fact, visitors and dates are read from the staged rows."""
+    batch = publish.stage_visits(spark, db, arrival_visits(spark))
+    for frame, _ in batch.tables():
+        text = plan(frame)
+        assert "stage_visits" in text
+        assert "BroadcastHashJoin" not in text
+
+
+def arrival_visits(spark):
+    from arrivals_engine.plans import star
+
+    return star.build_visits(arrivals(spark, {}), lookups(spark))
+
+
+def test_json_handover(spark, db, tmp_path):
+    batch = publish.stage_visits(spark, db, arrival_visits(spark))
+    paths = publish.export_json(batch, str(tmp_path))
+    publish.publish_json(spark, db, *paths)
+    assert ids(spark, db) == [1]
+    assert rows(spark.table(f"{db}.visitors")) == rows(
+        batch.visitors.select(*spark.table(f"{db}.visitors").columns)
+    )
+
+
+def test_json_with_a_value_too_long_is_kept_out(spark, db, tmp_path):
+    batch = publish.stage_visits(spark, db, arrival_visits(spark))
+    long = batch.fact.selectExpr(
+        *(n if n != "port_state_code" else "repeat('x', 11) AS port_state_code"
+          for n in batch.fact.columns)
+    )
+    paths = publish.export_json(
+        publish.Batch(long, batch.visitors, batch.arrival_date), str(tmp_path)
+    )
+    with pytest.raises(QualityError, match="fit"):
+        publish.publish_json(spark, db, *paths)
+    assert ids(spark, db) == ids(spark, db, "visitors") == []
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    db = new_warehouse(spark, buckets=4)
+    load(spark, db, {}, {"admnum": 2.0}, {"admnum": 3.0} | MARCH)
+    load(spark, db, {"admnum": 4.0} | MARCH)
+    assert tables.bucket_count(spark, db, schemas.VISITORS) == 4
+    fact, visitors, dates = (
+        spark.table(f"{db}.{name}") for name in ("visitor_analysis", "visitors", "arrival_date")
+    )
+    frame = reports.visits_by_month_gender(fact, visitors, dates)
+    assert rows(frame) == [(2016, 2, "F", 2), (2016, 3, "F", 1)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(reports.visits_by_month_gender(fact, visitors, dates))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(admission_id" not in text
+    assert text.count("Bucketed: true") == 2
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def demographic_rows(spark, *values):
+    totals = spark.createDataFrame(
+        [(c, s, "X", age, 1, 1, n, 1, 1, 2.5) for c, s, age, n in values],
+        "city string, state_code string, state string, median_age double, "
+        "male_population bigint, female_population bigint, total_population bigint, "
+        "number_of_veterans bigint, foreign_born bigint, average_household_size double",
+    )
+    races = totals.selectExpr("city", "state_code", "state", "'W' AS race", "5L AS count")
+    return totals, races
+
+
+def test_refresh_replaces_everything(spark, db):
+    publish.refresh_demographics(spark, db, *demographic_rows(spark, ("A", "XX", 30.0, 9)))
+    publish.refresh_demographics(spark, db, *demographic_rows(spark, ("B", "YY", 33.15, 8)))
+    row = spark.table(f"{db}.state_demographics").collect()
+    assert [(r.city, r.median_age, r.total_population) for r in row] == [("B", Decimal("33.2"), 8)]
+    assert rows(spark.table(f"{db}.state_demographics_by_race")) == [("B", "YY", "X", "W", 5)]
+
+
+@pytest.mark.parametrize(
+    ("bad", "check"),
+    [
+        ([("A", "XX", 30.0, 9), ("A", "XX", 31.0, 9)], "unique_key"),
+        ([("A", "XX", 100.0, 9)], "fit"),
+        ([("A", "XXX", 30.0, 9)], "fit"),
+        ([("A", "XX", 30.0, None)], "required"),
+        ([("A", None, 30.0, 9)], "required"),
+    ],
+)
+def test_bad_demographics_leave_the_live_tables(spark, db, bad, check):
+    publish.refresh_demographics(spark, db, *demographic_rows(spark, ("L", "LL", 30.0, 9)))
+    with pytest.raises(QualityError, match=check):
+        publish.refresh_demographics(spark, db, *demographic_rows(spark, *bad))
+    for name in ("state_demographics", "state_demographics_by_race"):
+        assert [r.city for r in spark.table(f"{db}.{name}").collect()] == ["L"]
