@@ -249,18 +249,17 @@ OVER_STAR = {
     "top_ports": """SELECT port_city, count(admission_id) AS visitor_cnt FROM visitor_analysis
                     GROUP BY port_city ORDER BY visitor_cnt DESC, port_city LIMIT 10""",
     "visits_by_month_gender": """
-        SELECT ad."year", ad."month", v.gender, count(va.admission_id) AS visitor_cnt
-        FROM visitor_analysis va
-        JOIN visitors v ON va.admission_id = v.admission_id AND va.arrival_date = v.arrival_date
-        JOIN arrival_date ad ON va.arrival_date = ad.arrival_date
-        GROUP BY ad."year", ad."month", v.gender""",
+        SELECT "year", "month", gender, count(*) AS visitor_cnt
+        FROM visitor_analysis
+        JOIN visitors USING (admission_id, arrival_date)
+        JOIN arrival_date USING (arrival_date)
+        GROUP BY ALL""",
     "top_ports_population": """
-        SELECT va.port_city, sd.total_population, count(va.admission_id) AS visitor_cnt
-        FROM visitor_analysis va
-        LEFT JOIN state_demographics sd
-          ON va.port_city = sd.city AND va.port_state_code = sd.state_code
-        GROUP BY va.port_city, sd.total_population
-        ORDER BY visitor_cnt DESC, va.port_city, sd.total_population NULLS LAST LIMIT 10""",
+        SELECT port_city, total_population, count(*) AS visitor_cnt
+        FROM visitor_analysis
+        LEFT JOIN state_demographics d ON port_city = city AND port_state_code = d.state_code
+        GROUP BY ALL
+        ORDER BY visitor_cnt DESC, port_city, total_population NULLS LAST LIMIT 10""",
     "visits_by_visa": """SELECT visa_category, count(admission_id) AS visitor_cnt
                          FROM visitor_analysis GROUP BY visa_category""",
     "top_origins": """SELECT origin_country, count(admission_id) AS visitor_cnt
@@ -271,14 +270,13 @@ OVER_STAR = {
     "visits_by_mode": """SELECT entry_mode, count(admission_id) AS visitor_cnt
                          FROM visitor_analysis GROUP BY entry_mode""",
     "port_diversity": """
-        SELECT p.port_city, p.port_state_code, p.visitor_cnt, sd.average_household_size,
-               r.race, r."count" AS race_population
-        FROM (SELECT port_city, port_state_code, count(admission_id) AS visitor_cnt
-              FROM visitor_analysis GROUP BY port_city, port_state_code) p
-        LEFT JOIN state_demographics sd
-          ON p.port_city = sd.city AND p.port_state_code = sd.state_code
+        SELECT port_city, port_state_code, visitor_cnt, average_household_size, race,
+               r."count" AS race_population
+        FROM (SELECT port_city, port_state_code, count(*) AS visitor_cnt
+              FROM visitor_analysis GROUP BY ALL)
+        LEFT JOIN state_demographics d ON port_city = d.city AND port_state_code = d.state_code
         LEFT JOIN state_demographics_by_race r
-          ON p.port_city = r.city AND p.port_state_code = r.state_code""",
+          ON port_city = r.city AND port_state_code = r.state_code""",
     "dq_row_counts": ROW_COUNTS,
     "dq_unique_keys": UNIQUE_KEYS,
     "dq_required": REQUIRED,

@@ -4,11 +4,12 @@ from decimal import Decimal
 
 import pytest
 from helpers import arrivals, lookups, plan, rows
+from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
 from arrivals_engine.catalogue import new_warehouse
 from arrivals_engine.operators.quality import QualityError
-from arrivals_engine.plans import publish, reports
+from arrivals_engine.plans import publish, reports, star
 from arrivals_engine.sources import tables
 
 
@@ -138,11 +139,59 @@ def test_staging_is_one_scan_of_the_input(spark, db):
 
 
 def arrival_visits(spark):
-    from arrivals_engine.plans import star
-
     return star.build_visits(arrivals(spark, {}), lookups(spark))
 
 
+def month_files(spark, db, month):
+    staged = spark.table(f"{db}.stage_visits").filter(f"year_month = {month}")
+    return staged.selectExpr("_metadata.file_path").distinct().count()
+
+
+def test_a_large_month_is_staged_in_several_files_and_a_small_one_in_one(spark, db):
+    raw = arrivals(spark, {}).crossJoin(spark.range(30_000)).withColumns(
+        {
+            "admnum": F.col("id").cast("double"),
+            "i94mon": F.when(F.col("id") < 29_000, 2.0).otherwise(3 + F.col("id") % 3),
+        }
+    )
+    visits = star.build_visits(raw.drop("id"), lookups(spark))
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k",
+    }
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        publish.stage_visits(spark, db, visits)
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert month_files(spark, db, 201602) > 1
+    assert [month_files(spark, db, m) for m in (201603, 201604, 201605)] == [1, 1, 1]
+
+
+def test_reports_in_plain_sql_over_the_tables(spark, db):
+    load(spark, db, {}, {"admnum": 2.0, "gender": "M", "i94port": "SEA"}, {"admnum": 3.0} | MARCH)
+    totals, races = demographic_rows(spark, ("NEW YORK", "NY", 30.0, 9))
+    publish.refresh_demographics(spark, db, totals, races)
+    fact, visitors, dates, cities = (
+        spark.table(f"{db}.{name}")
+        for name in ("visitor_analysis", "visitors", "arrival_date", "state_demographics")
+    )
+    by_month_gender = spark.sql(
+        f"""SELECT year, month, gender, count(*) FROM {db}.visitor_analysis
+            JOIN {db}.visitors USING (admission_id, arrival_date)
+            JOIN {db}.arrival_date USING (arrival_date) GROUP BY ALL"""
+    )
+    assert rows(by_month_gender) == rows(reports.visits_by_month_gender(fact, visitors, dates))
+    by_population = spark.sql(
+        f"""SELECT port_city, total_population, count(*) FROM {db}.visitor_analysis
+            LEFT JOIN {db}.state_demographics d ON port_city = city AND port_state_code = d.state_code
+            GROUP BY ALL"""
+    )
+    assert rows(by_population) == rows(reports.top_ports_population(fact, cities))
+
+
 def test_json_handover(spark, db, tmp_path):
     batch = publish.stage_visits(spark, db, arrival_visits(spark))
     paths = publish.export_json(batch, str(tmp_path))

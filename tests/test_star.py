@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime
+import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -78,6 +81,80 @@ def test_same_key_with_another_attribute_survives_and_fails_the_check(spark):
     assert [(r.check_name, r.value) for r in failed] == [("unique_key", 1)]
 
 
+def expected_visit(raw):
+    """The rules for one arrival in plain Python."""
+
+    def whole(name, default=None):
+        value = raw[name]
+        return default if value is None or math.isnan(value) else int(value)
+
+    def text(name):
+        return "N/R" if raw[name] is None else raw[name]
+
+    def day(name):
+        return datetime.date(1960, 1, 1) + datetime.timedelta(days=whole(name, 0))
+
+    city, state = {"NYC": ("NEW YORK", "NY"), "SEA": ("SEATTLE", "WA")}.get(
+        raw["i94port"], ("Other", "Other")
+    )
+    destination = raw["i94addr"] if raw["i94addr"] in ("NY", "WA") else "Other"
+    year, month = whole("i94yr"), whole("i94mon")
+    return (
+        whole("admnum"),
+        None if year is None or month is None else year * 100 + month,
+        day("arrdate"),
+        day("depdate"),
+        whole("i94bir", -1),
+        whole("biryear", -1),
+        text("visatype"),
+        text("gender"),
+        city,
+        state,
+        destination,
+        {101: "ALBANIA", 102: "ANDORRA"}.get(whole("i94cit"), "Other"),
+        {1: "Air", 2: "Sea", 3: "Land"}.get(whole("i94mode"), "N/R"),
+        {1: "Business", 2: "Pleasure", 3: "Student"}.get(whole("i94visa"), "N/R"),
+        text("dtaddto"),
+        "Y" if destination == state else "N",
+    )
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_random_arrivals_against_plain_python(spark, small):
+    pick = random.Random(3)
+    values = {
+        "admnum": [None, 1.0, 2.0, 3.7, float("nan")],
+        "i94yr": [2016.0, 2017.0, None],
+        "i94mon": [1.0, 12.0, None],
+        "i94cit": [101.0, 102.0, 103.0, None],
+        "i94addr": ["NY", "WA", "ny", None],
+        "i94port": ["NYC", "SEA", "XXX", None],
+        "arrdate": [20485.0, 20485.9, -1.0, None],
+        "depdate": [20490.0, None],
+        "i94mode": [0.0, 1.0, 2.0, 3.0, None],
+        "i94bir": [40.0, None],
+        "biryear": [1976.0, None],
+        "i94visa": [1.0, 2.0, 3.0, 4.0, None],
+        "visatype": ["B2", None],
+        "dtaddto": ["D/S", None],
+        "gender": ["F", "M", None],
+    }
+    raw = [{name: pick.choice(v) for name, v in values.items()} for _ in range(150)]
+    raw += [raw[0] | {"admnum": 9.0}] * 75 + pick.choices(raw, k=50)
+    options = {} if small else {"max_broadcast_bytes": 0}
+    found = star.build_visits(arrivals(spark, *raw), lookups(spark, **options)).collect()
+
+    def typed(row):
+        return tuple(
+            int(v) if isinstance(v, float) and not math.isnan(v) else None if v != v else v
+            for v in row.values()
+        )
+
+    distinct = {typed(row): row for row in raw}.values()
+    expected = [expected_visit(row) for row in distinct if expected_visit(row)[0] is not None]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
 def test_fact_and_visitors_have_one_row_per_identified_arrival(spark, fixture_visits):
     identified = catalogue.queries()["arrivals_with_id"](spark, SF_DIR).count()
     assert star.visit_fact(fixture_visits).count() == identified
