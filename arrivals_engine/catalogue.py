@@ -53,6 +53,13 @@ def _races(t: Tables) -> DataFrame:
     return star.demographic_races(_flat(t))
 
 
+def _decimals_as_double(rows: DataFrame) -> DataFrame:
+    """For comparing results across engines, which print decimals differently."""
+    return rows.withColumns(
+        {name: F.col(name).cast("double") for name, kind in rows.dtypes if kind.startswith("decimal")}
+    )
+
+
 # ---- cleaning, decoding, deriving -----------------------------------------
 
 
@@ -120,6 +127,10 @@ def visits_by_month_gender(t: Tables) -> DataFrame:
     )
 
 
+def port_diversity(t: Tables) -> DataFrame:
+    return _decimals_as_double(reports.port_diversity(_fact(t), _totals(t), _races(t)))
+
+
 # ---- quality --------------------------------------------------------------
 
 
@@ -258,7 +269,7 @@ def _refreshed_demographics(t: Tables, table: schemas.Table) -> DataFrame:
         publish.refresh_demographics(
             t.spark, db, star.demographic_totals(flat), star.demographic_races(flat)
         )
-    return t.spark.table(f"{db}.{table.name}")
+    return _decimals_as_double(t.spark.table(f"{db}.{table.name}"))
 
 
 # ---- catalogue ------------------------------------------------------------
@@ -279,7 +290,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "visitor_dim": lambda t: star.visitor_dim(_visits(t)),
     "arrival_date_dim": lambda t: star.arrival_date_dim(_visits(t)),
     "demographics_flat": demographics_flat,
-    "demographics_total": _totals,
+    "demographics_total": lambda t: _decimals_as_double(_totals(t)),
     "demographics_race": _races,
     "top_ports": lambda t: reports.top_ports(_fact(t)),
     "visits_by_month_gender": visits_by_month_gender,
@@ -288,7 +299,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "top_origins": lambda t: reports.top_origins(_fact(t)),
     "visits_by_month": lambda t: reports.visits_by_month(_fact(t)),
     "visits_by_mode": lambda t: reports.visits_by_mode(_fact(t)),
-    "port_diversity": lambda t: reports.port_diversity(_fact(t), _totals(t), _races(t)),
+    "port_diversity": port_diversity,
     "dq_row_counts": lambda t: _star_report(t, "row_count"),
     "dq_unique_keys": lambda t: _star_report(t, "unique_key"),
     "dq_required": lambda t: _star_report(t, "required"),

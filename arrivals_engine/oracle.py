@@ -138,8 +138,9 @@ measured AS (
   FROM city
 ),
 state_demographics AS (
-  SELECT * REPLACE (CAST(median_age AS DECIMAL(3,1)) AS median_age,
-                    CAST(average_household_size AS DECIMAL(4,2)) AS average_household_size)
+  SELECT * REPLACE (
+    CAST(CAST(median_age AS DECIMAL(3,1)) AS DOUBLE) AS median_age,
+    CAST(CAST(average_household_size AS DECIMAL(4,2)) AS DOUBLE) AS average_household_size)
   FROM measured
 ),
 state_demographics_by_race AS (

@@ -19,8 +19,6 @@ DUCK_TYPES = {
     "string": "VARCHAR",
     "date": "DATE",
     "boolean": "BOOLEAN",
-    "decimal(3,1)": "DECIMAL(3,1)",
-    "decimal(4,2)": "DECIMAL(4,2)",
 }
 
 
