@@ -1,8 +1,8 @@
 """The analytic reports over the star schema.
 
-Every report counts per key before it joins, so that joins see one row per key
-and a port, date or visitor with very many rows is no burden. Ties in sorted
-reports are broken by the key.
+Every report counts per key before it joins (one may skip that where keys are known
+to be unique), so that joins see one row per key and a port, date or visitor with
+very many rows is no burden. Ties in sorted reports are broken by the key.
 """
 
 from __future__ import annotations
@@ -35,21 +35,31 @@ def top_ports(fact: DataFrame, limit: int = TOP) -> DataFrame:
 
 
 def visits_by_month_gender(
-    fact: DataFrame, visitors: DataFrame, arrival_date: DataFrame
+    fact: DataFrame, visitors: DataFrame, arrival_date: DataFrame, gated: bool = False
 ) -> DataFrame:
     """Fact joined to visitors and dates, counted by year, month and gender.
 
-    Both big sides are counted per key first. If keys repeat, each pair still
-    counts once: the product of the two counts is the number of pairs.
+    Rows are counted per key on both sides before the join. If keys repeat, each
+    pair still counts once: the product of the two counts is the number of pairs.
+
+    `gated` says that both tables were published through the key check. A key then
+    has one row per month at most, so the rows are joined as they are, which saves
+    a shuffle and two aggregations. The result is the same.
     """
     key = ["admission_id", "arrival_date"]
-    fact_rows = fact.groupBy(*key).agg(F.count(F.lit(1)).alias("fact_rows"))
-    visitor_rows = visitors.groupBy(*key, "gender").agg(F.count(F.lit(1)).alias("visitor_rows"))
-    per_day = (
-        fact_rows.join(visitor_rows, key)
-        .groupBy("arrival_date", "gender")
-        .agg(F.sum(F.col("fact_rows") * F.col("visitor_rows")).alias(VISITS))
-    )
+    if gated:
+        pairs = fact.select(*key).join(visitors.select(*key, "gender"), key)
+        per_day = pairs.groupBy("arrival_date", "gender").agg(F.count(F.lit(1)).alias(VISITS))
+    else:
+        fact_rows = fact.groupBy(*key).agg(F.count(F.lit(1)).alias("fact_rows"))
+        visitor_rows = visitors.groupBy(*key, "gender").agg(
+            F.count(F.lit(1)).alias("visitor_rows")
+        )
+        per_day = (
+            fact_rows.join(visitor_rows, key)
+            .groupBy("arrival_date", "gender")
+            .agg(F.sum(F.col("fact_rows") * F.col("visitor_rows")).alias(VISITS))
+        )
     return _summed(per_day.join(arrival_date, "arrival_date"), "year", "month", "gender")
 
 

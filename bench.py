@@ -66,7 +66,7 @@ def star_reports(spark: SparkSession, db: str) -> dict[str, Callable[[], DataFra
     return {
         "top_ports": lambda: reports.top_ports(fact()),
         "visits_by_month_gender": lambda: reports.visits_by_month_gender(
-            fact(), table("visitors"), table("arrival_date")
+            fact(), table("visitors"), table("arrival_date"), gated=True
         ),
         "top_ports_population": lambda: reports.top_ports_population(fact(), totals()),
         "visits_by_visa": lambda: reports.visits_by_visa(fact()),

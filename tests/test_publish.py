@@ -216,19 +216,20 @@ def test_json_with_a_value_too_long_is_kept_out(spark, db, tmp_path):
     assert ids(spark, db) == ids(spark, db, "visitors") == []
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark):
+@pytest.mark.parametrize("gated", [False, True])
+def test_bucketed_tables_join_without_a_shuffle(spark, gated):
     db = new_warehouse(spark, buckets=4)
     load(spark, db, {}, {"admnum": 2.0}, {"admnum": 3.0} | MARCH)
     load(spark, db, {"admnum": 4.0} | MARCH)
     assert tables.bucket_count(spark, db, schemas.VISITORS) == 4
-    fact, visitors, dates = (
+    parts = [
         spark.table(f"{db}.{name}") for name in ("visitor_analysis", "visitors", "arrival_date")
-    )
-    frame = reports.visits_by_month_gender(fact, visitors, dates)
+    ]
+    frame = reports.visits_by_month_gender(*parts, gated)
     assert rows(frame) == [(2016, 2, "F", 2), (2016, 3, "F", 1)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(reports.visits_by_month_gender(fact, visitors, dates))
+        text = plan(reports.visits_by_month_gender(*parts, gated))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(admission_id" not in text

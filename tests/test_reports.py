@@ -4,6 +4,7 @@ import datetime
 import random
 from collections import Counter
 
+import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
@@ -59,15 +60,17 @@ def brute_force_month_gender(fact, visitors, dates):
     return sorted(((*k, n) for k, n in counts.items()), key=str)
 
 
-def month_gender(spark, fact, visitors, dates):
+def month_gender(spark, fact, visitors, dates, gated=False):
     return reports.visits_by_month_gender(
         spark.createDataFrame(fact, "admission_id bigint, arrival_date date"),
         spark.createDataFrame(visitors, "admission_id bigint, arrival_date date, gender string"),
         spark.createDataFrame(dates, "arrival_date date, year int, month int"),
+        gated,
     )
 
 
-def test_month_gender_on_repeated_and_missing_keys(spark):
+@pytest.mark.parametrize("gated", [False, True])
+def test_month_gender_on_repeated_and_missing_keys(spark, gated):
     pick = random.Random(7)
     days = [DAY + datetime.timedelta(days=40 * i) for i in range(4)]
     fact = [(pick.choice([1, 1, 1, 2, 3, None]), pick.choice(days)) for _ in range(60)]
@@ -76,7 +79,7 @@ def test_month_gender_on_repeated_and_missing_keys(spark):
         for _ in range(60)
     ]
     dates = [(d, d.year, d.month) for d in days[:3]] + [(days[0], 1999, 1)]
-    found = rows(month_gender(spark, fact, visitors, dates))
+    found = rows(month_gender(spark, fact, visitors, dates, gated))
     assert found == brute_force_month_gender(fact, visitors, dates)
 
 
