@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_engine.llm import lines, quality
+from arrivals_engine.llm import bpe, lines, quality
 from arrivals_engine.llm.common import table
 
+#: Where the vocabulary files are; a path of the machine, the same on all executors.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,7 +54,7 @@ FROM marked GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_quality_rules, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_bpe_codec, op5_quality_rules, op7_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
