@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_engine.llm import bpe, lines, quality
+from arrivals_engine.llm import bpe, decontaminate, lines, quality
 from arrivals_engine.llm.common import table
 
 #: Where the vocabulary files are; a path of the machine, the same on all executors.
@@ -32,6 +32,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP7_SQL = f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -54,7 +58,7 @@ FROM marked GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_codec, op5_quality_rules, op7_line_dedup)}
+    return {f.__name__: f for f in (op1_bpe_codec, op5_quality_rules, op7_line_dedup, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
