@@ -41,9 +41,10 @@ def document_keys(docs: DataFrame, min_chars: int = 1) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     long_enough = F.filter(lines, lambda x: F.char_length(strip_space(x)) >= min_chars)
     keys = F.array_distinct(F.transform(long_enough, line_key))
+    # An inner explode would have the optimizer compute the array once more, in a filter.
     return docs.select(
-        row_identity(F.col("doc_id"), F.col("text")).alias("doc"), F.explode(keys).alias("key")
-    )
+        row_identity(F.col("doc_id"), F.col("text")).alias("doc"), F.explode_outer(keys).alias("key")
+    ).where(F.col("key").isNotNull())
 
 
 class LineRuns:
