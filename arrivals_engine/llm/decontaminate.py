@@ -139,8 +139,11 @@ def with_leaks(
         docs.withColumn(_DOC, row_identity(F.col("doc_id"), F.col("text")))
         .join(found, _DOC, "left")
         .withColumn(name, mine)
-        .withColumn(into, leaks)
-        .drop(_DOC, _HITS, name)
+        # The number keeps later filters from being pushed below, where they would compute
+        # the words once for each word of an item.
+        .withColumns({into: leaks, "_leak_row": F.monotonically_increasing_id()})
+        .where(F.col("_leak_row") >= 0)
+        .drop(_DOC, _HITS, name, "_leak_row")
     )
 
 
