@@ -32,13 +32,24 @@ def row_identity(doc_id: Column, text: Column) -> Column:
     )
 
 
-def staged(rows: DataFrame, label: str) -> DataFrame:
-    """Written once to the shared scratch folder and read back, which cuts the lineage
-    without depending on any executor staying alive."""
-    spark = rows.sparkSession
-    path = scratch_path(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+class Scratch:
+    """Tables in the shared scratch folder: written once and read back, which cuts the lineage
+    without depending on any executor staying alive. Dropped ones free their space."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.base = spark, scratch_path(spark, label)
+
+    def put(self, rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{self.base}/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """For tables that nothing reads any more."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_engine.llm import bpe, decontaminate, lines, quality
+from arrivals_engine.llm import bpe, decontaminate, lines, quality, shingles
 from arrivals_engine.llm.common import table
 
 #: Where the vocabulary files are; a path of the machine, the same on all executors.
@@ -24,6 +24,10 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.components(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,7 +62,7 @@ FROM marked GROUP BY doc_id
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_codec, op5_quality_rules, op7_line_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_bpe_codec, op3_ngram_jaccard, op5_quality_rules, op7_line_dedup, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
