@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_engine.llm import bpe, decontaminate, lines, quality, shingles
-from arrivals_engine.llm.common import table
+from arrivals_engine.llm import bpe, chat, decontaminate, html, langid, lines, quality, shingles, urls, warc
+from arrivals_engine.llm.common import Scratch, table
+from arrivals_engine.sources.scratch import scratch_path
 
 #: Where the vocabulary files are; a path of the machine, the same on all executors.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,18 +26,55 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), VOCABULARY, RANKS)
 
 
+RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), RULES)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.components(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, sf_dir, "conversations").select(planted.columns).unionByName(planted)
+    return chat.digests(Scratch(spark, "chat").put(chat.examples(turns), "examples"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+def op9_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "archives")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, with_payload=False).drop("payload", "url")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,9 +100,39 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: The parts of a turn that are no text, and what gets an escape character.
+TURN_CHARS = len(chat.START + chat.SEP + chat.END)
+CONTROL = r"\\|<\||</?s>|<</?SYS>>|\[/?INST\]"
+
+OP6_SQL = f"""
+WITH turn AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, {TURN_CHARS} + length(role || text)
+        + len(regexp_extract_all(role, '{CONTROL}')) + len(regexp_extract_all(text, '{CONTROL}')) AS chars
+    FROM turn
+), placed AS (
+    SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS upto,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+    FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+        AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+        FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(upto) FILTER (WHERE role = 'assistant' OR back = 1) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_bpe_codec, op3_ngram_jaccard, op5_quality_rules, op7_line_dedup, op10_decontamination)}
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL}
+    return {"op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL}
