@@ -5,7 +5,8 @@ keeps, for keys met so far, in how many documents they were met: each batch merg
 the keys that are already known as frequent and adds a sorted run of the others. Runs of a
 level are compacted into one of the next level as soon as there are ``fan_out`` of them;
 keys that reach ``min_docs`` leave the levels for the frequent runs. A line goes if its key
-is frequent. Runs are bucketed by key, so a batch shuffles its own keys and never the runs.
+is frequent. Runs are bucketed by key, so a batch shuffles its own keys and not the frequent
+runs; a compaction shuffles the runs that it merges.
 
 Each document must be in one batch only. Defined results: a null or empty text is one empty
 line; keys shorter than ``min_chars`` never go. Rows with the same doc_id are one document;
@@ -50,10 +51,11 @@ def document_keys(docs: DataFrame, min_chars: int = 1) -> DataFrame:
 class LineRuns:
     """Runs of (key, n): in n documents of the batches added so far the key was met."""
 
-    def __init__(self, spark: SparkSession, min_docs: int, fan_out: int = 2):
-        self.spark, self.min_docs, self.fan_out = spark, min_docs, fan_out
+    def __init__(self, spark: SparkSession, min_docs: int, fan_out: int = 2, most_frequent: int = 4):
+        self.spark, self.min_docs = spark, min_docs
+        self.fan_out, self.most_frequent = fan_out, most_frequent
         self.buckets = partitions(spark)
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[str]] = []
         self._frequent: list[tuple[DataFrame, str]] = []
 
     def _run(self, rows: DataFrame) -> tuple[DataFrame, str]:
@@ -71,18 +73,19 @@ class LineRuns:
         self.spark.sql(f"DROP TABLE {name}")
         return run, path
 
-    def _known(self) -> DataFrame | None:
-        return _union([run for run, _ in self._frequent])
+    def _rows(self, paths: list[str], schema: str = "key binary, n long") -> DataFrame:
+        """Several runs as plain files: a union of bucketed scans passes for bucketed, but
+        its parts of a bucket are not read by the same task."""
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def add(self, keys: DataFrame) -> None:
         """Adds a batch of (doc, key)."""
         counts = keys.distinct().groupBy("key").agg(F.count("*").alias("n"))
-        known = self._known()
-        if known is not None:
+        for known, _ in self._frequent:
             counts = counts.join(known.hint("merge"), "key", "left_anti")
-        self._put(0, self._run(counts)[0])
+        self._put(0, self._run(counts)[1])
 
-    def _put(self, level: int, run: DataFrame) -> None:
+    def _put(self, level: int, run: str) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
@@ -90,11 +93,16 @@ class LineRuns:
             runs, self.levels[level] = self.levels[level], []
             self._compact(runs, level + 1)
 
-    def _compact(self, runs: list[DataFrame], to: int | None) -> None:
-        merged = _union(runs).groupBy("key").agg(F.sum("n").alias("n"))
+    def _compact(self, runs: list[str], to: int | None) -> None:
+        merged = self._rows(runs).groupBy("key").agg(F.sum("n").alias("n"))
         self._frequent.append(self._run(merged.where(F.col("n") >= self.min_docs).select("key")))
+        if len(self._frequent) > self.most_frequent:
+            self._frequent = [self._run(self._all_frequent())]
         if to is not None:
-            self._put(to, self._run(merged.where(F.col("n") < self.min_docs))[0])
+            self._put(to, self._run(merged.where(F.col("n") < self.min_docs))[1])
+
+    def _all_frequent(self) -> DataFrame:
+        return self._rows([path for _, path in self._frequent], "key binary")
 
     def frequent(self) -> DataFrame:
         """The keys met in at least min_docs documents, after compacting all levels."""
@@ -102,21 +110,10 @@ class LineRuns:
         if left:
             self._compact(left, None)
             self.levels = []
-        paths = [path for _, path in self._frequent]
-        return self.spark.read.schema("key binary").parquet(*paths)
-
-
-def _union(runs: list[DataFrame]) -> DataFrame | None:
-    if not runs:
-        return None
-    whole = runs[0]
-    for run in runs[1:]:
-        whole = whole.unionByName(run)
-    return whole
+        return self._all_frequent()
 
 
-@F.pandas_udf(KEPT)
-def _without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+def _without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, drops in batches:
         out = []
         for text, drop in zip(texts, drops, strict=True):
@@ -161,7 +158,7 @@ def without_frequent_lines(
     return (
         docs.withColumn(_DOC, row_identity(F.col("doc_id"), F.col("text")))
         .join(drops, _DOC, "left")
-        .withColumn(into, _without(F.col("text"), F.col(_DROP)))
+        .withColumn(into, F.pandas_udf(_without_lines, KEPT)(F.col("text"), F.col(_DROP)))
         .drop(_DOC, _DROP)
     )
 

@@ -1,0 +1,232 @@
+"""Near duplicates, repeated lines and benchmark passages against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from arrivals_engine.llm import components, decontaminate, lines, shingles
+from arrivals_engine.llm.common import UPPER, Scratch
+
+SCHEMA = "doc_id long, text string, n int, token string, node string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans(UPPER, UPPER.lower())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "x", "y") for i, t in rows], SCHEMA).repartition(3)
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+# --- n-gram Jaccard join ---
+
+
+def shingle_set(text):
+    w = words(text)
+    k = min(5, len(w))
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset()
+
+
+def brute_components(rows):
+    sets = [shingle_set(t) for _, t in rows]
+    part = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            same_id = rows[i][0] is not None and rows[i][0] == rows[j][0] and a and b
+            if same_id or (a and b and 100 * len(a & b) >= 80 * len(a | b)):
+                old, new = part[i], part[j]
+                part = [new if p == old else p for p in part]
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if part[j] == part[i] and rows[j][0] is not None]
+        component = min(ids, default=None) if sets[i] else doc_id
+        out.append((doc_id, len(sets[i]), component))
+    return out
+
+
+def near_copies(rng, base, share):
+    w = base.split()
+    for _ in range(max(1, int(len(w) * share))):
+        w[rng.randrange(len(w))] = f"q{rng.randrange(1000)}"
+    return " ".join(w)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    shared = text(12)
+    texts = [text(rng.choice([3, 5, 8, 30, 80])) for _ in range(25)]
+    texts += [text(40) + " " + shared for _ in range(20)]
+    for base in rng.sample(texts, 6):
+        texts += [near_copies(rng, base, rng.choice([0.01, 0.02, 0.05])) for _ in range(8)]
+        texts += [base.upper(), base + " " + text(2)]
+    texts += [None, "", "  \n", "one", "one", "A b", "a\tB"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [rows[3], (4, text(9)), (None, texts[7]), (None, "alone in the world of six"), (None, None)]
+    rng.shuffle(rows)
+    return rows
+
+
+def key(row):
+    return tuple((x is None, x or 0) for x in row)
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(1, 64), (2, 2), (3, 4)])
+def test_components_equal_brute_force(spark, seed, hot):
+    rows = corpus(seed)
+    got = shingles.components(frame(spark, rows), hot=hot, chunk=3).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute_components(rows), key=key)
+
+
+def test_tree_finds_what_pairs_find():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        base = np.unique(rng.integers(0, 60, rng.integers(1, 40)))
+        sets = {}
+        for name in range(12):
+            keep = base[rng.random(len(base)) > rng.choice([0, 0.1, 0.3])]
+            sets[name] = np.union1d(keep, rng.integers(0, 60, rng.integers(0, 4))).astype(np.int64)
+        sets = {k: v for k, v in sets.items() if len(v)}
+        tree = shingles.RadixTree()
+        for name, tokens in sets.items():
+            tree.add(tokens, name)
+        for probe in sets.values():
+            want = [k for k, v in sets.items() if 100 * len(np.intersect1d(v, probe)) >= 80 * len(np.union1d(v, probe))]
+            assert sorted(tree.linked(probe)) == want
+
+
+def test_linked_sets_share_as_much_of_their_prefixes_as_is_said():
+    rng = np.random.default_rng(9)
+    for n in [*range(1, 60), 100, 333]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 10**6, n))
+            b = a[rng.random(len(a)) > 0.1]
+            b = np.union1d(b, rng.integers(0, 10**6, rng.integers(0, n // 10 + 2)))
+            if len(a) and len(b) and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)):
+                pa, pb = (x[: shingles.prefix_size(len(x))] for x in (a, b))
+                both = len(np.intersect1d(pa, pb))
+                assert both >= max(shingles.least_shared(len(a)), shingles.least_shared(len(b)))
+
+
+def test_keep_one_and_empty_table(spark):
+    rows = [(5, "a b c d e f g"), (2, "A b c d e f g"), (9, "z"), (None, "a b c d e f g"), (None, "alone")]
+    docs = frame(spark, rows)
+    kept = shingles.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [2, 9]
+    assert shingles.components(docs.limit(0)).collect() == []
+
+
+def test_components_of_long_chains(spark, tmp_path):
+    pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (7, 7), (100, 101)]
+    found = components.smallest_reachable(
+        spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "chains"), "c"
+    )
+    got = dict(map(tuple, found.collect()))
+    assert got == {**{i: 0 for i in range(1, 61)}, 101: 100, 103: 100}
+
+
+# --- line dedup ---
+
+
+def brute_lines(rows, min_docs, min_chars=1):
+    norm = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    docs = {}
+    for i, t in rows:
+        who = ("id", i) if i is not None else ("text", t or "")
+        for line in (t or "").split("\n"):
+            docs.setdefault(norm(line), set()).add(who)
+    gone = {k for k, d in docs.items() if len(k) >= min_chars and len(d) >= min_docs}
+    out = []
+    for i, t in rows:
+        all_lines = (t or "").split("\n")
+        left = [x for x in all_lines if norm(x) not in gone]
+        out.append((i, len(all_lines), len(all_lines) - len(left), "\n".join(left)))
+    return out
+
+
+@pytest.mark.parametrize("batches", [1, 3, 5])
+def test_lines_equal_brute_force(spark, batches):
+    rng = random.Random(batches)
+    pool = ["Same line", " same LINE\t", "é", "É", "", "  ", "x", "unique"]
+    rows = [(i, "\n".join(rng.choice(pool) + ("" if rng.random() < 0.7 else str(i)) for _ in range(5))) for i in range(60)]
+    rows += [(None, None), (None, "x"), (None, "x"), (3, "x\nx"), (70, ""), rows[0]]
+    docs = frame(spark, rows)
+    kept = lines.without_frequent_lines(docs, min_docs=10, batches=batches, into="kept")
+    got = [(r["doc_id"], r["kept"]["n_lines"], r["kept"]["n_dropped"], r["kept"]["text"] or "") for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(brute_lines(rows, 10), key=str)
+    assert sum(r[2] for r in got) > 20
+    dropped = lines.drop_frequent_lines(docs, min_docs=10, batches=batches)
+    assert dropped.columns == docs.columns
+    assert lines.drop_frequent_lines(docs.limit(0)).collect() == []
+
+
+def test_runs_are_compacted_and_count_over_batches(spark):
+    runs = lines.LineRuns(spark, min_docs=3)
+    for batch in range(5):
+        rows = [(f"d{batch}", bytes([k])) for k in range(4) if batch >= k] * 2
+        runs.add(spark.createDataFrame(rows, "doc string, key binary"))
+    assert sum(map(len, runs.levels)) < 5
+    assert sorted(bytes(r["key"])[0] for r in runs.frequent().collect()) == [0, 1, 2]
+
+
+# --- benchmark decontamination ---
+
+
+def brute_leaks(rows, items, window=20, percent=80):
+    found = set()
+    by_words = {}
+    for item, text in items:
+        if item is not None and len(words(text)) >= decontaminate.SPAN:
+            k = tuple(words(text))
+            by_words[k] = min(item, by_words.get(k, item))
+    for i, t in rows:
+        mine = words(t)
+        for item_words, item in by_words.items():
+            n = min(len(item_words), window)
+            for shift in range(-len(item_words) + 1, len(mine)):
+                same = [0 <= shift + k < len(mine) and mine[shift + k] == w for k, w in enumerate(item_words)]
+                best = max(sum(same[s : s + n]) for s in range(len(same) - n + 1))
+                if 100 * best >= percent * n:
+                    found.add((i, item))
+    return found
+
+
+def passages(seed):
+    rng = random.Random(seed)
+    text = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    items = [(k, text(rng.choice([4, 10, 15, 40]))) for k in range(12)]
+    items += [(50, items[3][1].upper()), (None, text(12)), (51, None), (52, "")]
+    rows = [(k, text(rng.choice([0, 5, 60]))) for k in range(20)]
+    for k, (_, item) in enumerate(items[:12]):
+        w = item.split()
+        rows.append((100 + k, f"{text(9)} {item} {text(4)}"))
+        for _ in range(len(w) // 12):
+            w[rng.randrange(len(w))] = "other"
+        rows.append((200 + k, f"{text(3)}\n{' '.join(w).upper()}\n"))
+        rows.append((300 + k, " ".join(w[: len(w) // 3])))
+    return [*rows, (None, None), (None, f"{items[3][1]} end"), rows[21], (7, "")], items
+
+
+@pytest.mark.parametrize("broadcast_seeds", [10**6, 0])
+def test_leaks_equal_brute_force(spark, broadcast_seeds):
+    rows, items = passages(4)
+    docs = frame(spark, rows)
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, seed int")
+    got = decontaminate.leaks(docs, benchmark, broadcast_seeds=broadcast_seeds).collect()
+    assert len(got) == len({(r["doc_id"], r["item_id"]) for r in got})
+    assert {(r["doc_id"], r["item_id"]) for r in got} == brute_leaks(rows, items)
+    clean = decontaminate.drop_contaminated(docs, benchmark, broadcast_seeds=broadcast_seeds)
+    assert clean.columns == docs.columns
+    bad = {i for i, _ in brute_leaks(rows, items)}
+    assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(
+        [str(i) for i, t in rows if i not in bad or (i is None and t is None)]
+    )
+    assert decontaminate.leaks(docs.limit(0), benchmark).collect() == []
+    assert decontaminate.leaks(docs, benchmark.limit(0)).collect() == []
