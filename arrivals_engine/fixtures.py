@@ -81,17 +81,19 @@ def destinations(t: Tables) -> DataFrame:
 
 
 def origins(t: Tables) -> DataFrame:
-    return t.nation.filter("n_nationkey < 20").select(
-        F.col("n_nationkey").cast("string").alias("origin_code"),
+    """The codes of nations from 20 on are no numbers, so their visits find no origin."""
+    number = F.col("n_nationkey").cast("string")
+    return t.nation.select(
+        F.when(F.col("n_nationkey") < 20, number).otherwise(F.concat(F.lit("N"), number)).alias("origin_code"),
         F.concat(F.lit("C_"), F.col("n_name")).alias("origin_country"),
     )
 
 
 def raw_demographics(t: Tables) -> DataFrame:
-    """One nested record per city and market segment, the segment standing for race."""
+    """One nested record per city and market segment, the segment standing for race. The
+    cities of nations from 22 on are in a state that no port is in."""
     counted = (
-        t.customer.filter("c_nationkey < 22")
-        .groupBy("c_nationkey", "c_mktsegment")
+        t.customer.groupBy("c_nationkey", "c_mktsegment")
         .agg(F.count(F.lit(1)).alias("race_count"))
         # A handful of segments per nation is left by now.
         .withColumn("total", F.sum("race_count").over(Window.partitionBy("c_nationkey")))
@@ -106,7 +108,9 @@ def raw_demographics(t: Tables) -> DataFrame:
         F.lit("2015-01-01T00:00:00").alias("record_timestamp"),
         F.struct(
             F.col("n_name").alias("city"),
-            F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("state_code"),
+            F.when(key < 22, F.concat(F.lit("S"), F.col("n_regionkey").cast("string")))
+            .otherwise("Z")
+            .alias("state_code"),
             F.col("r_name").alias("state"),
             F.col("c_mktsegment").alias("race"),
             F.col("race_count").alias("count"),

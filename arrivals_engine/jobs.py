@@ -4,6 +4,8 @@
     arrivals      one month's file to the final tables
     demographics  a directory of nested JSON to the final tables
     load-json     three directories of JSON lines to the final tables
+    load-demographics-json  two directories of JSON lines to the final tables
+    export-json   one month's file, or nested demographics, to JSON lines only
 
 A failed check raises, so the job ends with an error status and the published
 tables stay as they were.
@@ -40,7 +42,7 @@ def create(spark: SparkSession, args: argparse.Namespace) -> None:
 def arrivals(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = readers.read_arrivals(spark, args.file, args.format)
     lookups = read_lookups(spark, args.ports, args.destinations, args.origins)
-    publish.publish_month(spark, args.db, raw, lookups, args.mode, args.single_month)
+    publish.publish_month(spark, args.db, raw, lookups, args.mode, not args.several_months)
     if args.json_out:
         publish.export_json(publish.staged_batch(spark, args.db), args.json_out)
 
@@ -63,9 +65,30 @@ def load_json(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
+def load_demographics_json(spark: SparkSession, args: argparse.Namespace) -> None:
+    publish.refresh_demographics_json(spark, args.db, args.totals, args.races)
+
+
+def export_json(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Without a warehouse and without checks: a batch that is to be looked at."""
+    if args.demographics:
+        flat = star.flatten_demographics(readers.read_demographics(spark, args.demographics))
+        for rows, table in (
+            (star.narrow_totals(star.demographic_totals(flat)), schemas.STATE_DEMOGRAPHICS),
+            (star.demographic_races(flat), schemas.STATE_DEMOGRAPHICS_BY_RACE),
+        ):
+            tables.write_json(rows, f"{args.out}/{table.name}")
+    if args.file:
+        raw = readers.read_arrivals(spark, args.file, args.format)
+        visits = star.build_visits(
+            raw, read_lookups(spark, args.ports, args.destinations, args.origins)
+        )
+        publish.export_json(publish.batch_of(visits), args.out)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="arrivals_engine.jobs", description=__doc__)
-    top.add_argument("--db", required=True)
+    top.add_argument("--db", help="needed by all but export-json")
     jobs = top.add_subparsers(required=True)
 
     job = jobs.add_parser("create")
@@ -81,7 +104,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--destinations", required=True)
     job.add_argument("--origins", required=True)
     job.add_argument("--mode", default="replace", choices=("replace", "append"))
-    job.add_argument("--single-month", action="store_true")
+    job.add_argument("--several-months", action="store_true")
     job.add_argument("--json-out")
     job.set_defaults(run=arrivals)
 
@@ -96,11 +119,28 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("arrival_date")
     job.add_argument("--mode", default="replace", choices=("replace", "append"))
     job.set_defaults(run=load_json)
+
+    job = jobs.add_parser("load-demographics-json")
+    job.add_argument("totals")
+    job.add_argument("races")
+    job.set_defaults(run=load_demographics_json)
+
+    job = jobs.add_parser("export-json")
+    job.add_argument("out")
+    job.add_argument("--file")
+    job.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+    job.add_argument("--ports")
+    job.add_argument("--destinations")
+    job.add_argument("--origins")
+    job.add_argument("--demographics")
+    job.set_defaults(run=export_json)
     return top
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
+    if args.run is not export_json and not args.db:
+        raise SystemExit("--db is needed")
     args.run(spark or SparkSession.builder.appName("arrivals").getOrCreate(), args)
 
 

@@ -2,34 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def salt_count(spark: SparkSession) -> int:
-    """Parts per key. With an eighth as many parts as shuffle partitions, a key
-    that holds a third of all rows puts under three average loads into a task."""
-    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
-
-
 def lookup_join(
     rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, small: bool
 ) -> DataFrame:
     """Left join of `rows` to a lookup with unique keys.
 
-    `small` says that the lookup was measured and fits a broadcast. Otherwise the
-    join shuffles, with the rows of each key (also a null key) spread by their whole
-    content over several parts, so that a very frequent code does not end up in one
-    task. The rows should be distinct; the lookup is repeated once per part.
+    `small` says that the lookup was measured and fits a broadcast. Otherwise both sides
+    are shuffled once by the code and merged: the hint keeps Spark from broadcasting a
+    lookup whose files merely compress well. A very frequent code, or no code, is a
+    partition of `rows` that adaptive execution splits over several tasks, each with the
+    few lookup rows of that partition; nothing else is repeated.
     """
-    matches = F.col(row_key) == F.col(lookup_key)
-    if small:
-        return rows.join(F.broadcast(lookup), matches, "left")
-    salts = salt_count(rows.sparkSession)
-    salted = rows.withColumn(
-        "_row_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    )
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(
-        repeated, matches & (F.col("_row_salt") == F.col("_salt")), "left"
-    ).drop("_row_salt", "_salt")
+    lookup = F.broadcast(lookup) if small else lookup.hint("merge")
+    return rows.join(lookup, F.col(row_key) == F.col(lookup_key), "left")

@@ -23,11 +23,13 @@ from arrivals_engine.sources.readers import read_typed_json
 
 @dataclass(frozen=True)
 class Batch:
-    """The three arrival tables of one load, as staged."""
+    """The three arrival tables of one load. same_keys: fact and visitors are views of the
+    same rows, so what holds for the keys of one holds for the other."""
 
     fact: DataFrame
     visitors: DataFrame
     arrival_date: DataFrame
+    same_keys: bool = False
 
     def tables(self) -> list[tuple[DataFrame, schemas.Table]]:
         return [
@@ -38,7 +40,7 @@ class Batch:
 
 
 def staged_batch(spark: SparkSession, db: str) -> Batch:
-    return Batch(*(spark.table(f"{db}.{view}") for view in schemas.STAGE_VIEWS))
+    return Batch(*(spark.table(f"{db}.{view}") for view in schemas.STAGE_VIEWS), same_keys=True)
 
 
 def stage_visits(
@@ -57,6 +59,13 @@ def stage_visits(
     return staged_batch(spark, db)
 
 
+def batch_of(visits: DataFrame) -> Batch:
+    """The three tables of visits that are not staged."""
+    return Batch(
+        star.visit_fact(visits), star.visitor_dim(visits), star.arrival_date_dim(visits), True
+    )
+
+
 def export_json(batch: Batch, directory: str) -> list[str]:
     """Fact, visitors and dates as JSON lines, one sub-directory each; returns them."""
     paths = []
@@ -87,23 +96,26 @@ def publish_batch(
     """Checks a batch as a whole and only then puts it into the final tables.
 
     'replace' swaps the year_month partitions of the batch, so publishing a month
-    again changes nothing; the batch must then hold those months completely.
-    'append' adds to them and refuses keys that are already there. The fact goes
-    last, so that it never points to a missing visitor or date.
+    again changes nothing; the batch must then hold those months completely, and keys
+    published under other months are refused. 'append' adds to its months and refuses
+    all keys that are already there. The fact goes last, so that it never points to a
+    missing visitor or date. A date that no visit has any more stays in its table.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode is 'replace' or 'append', not {mode!r}")
     report = batch_report(batch.tables(), checks)
-    if mode == "append":
-        report = union_all(
-            [report]
-            + [
-                collision_report(rows, spark.table(f"{db}.{table.name}"), table)
-                for rows, table in batch.tables()
-                if table.key == schemas.VISIT_KEY
+    gate(report)
+    keyed = [(rows, table) for rows, table in batch.tables() if table.key == schemas.VISIT_KEY]
+    gate(
+        union_all(
+            [
+                collision_report(
+                    rows, spark.table(f"{db}.{table.name}"), table, other_months=mode == "replace"
+                )
+                for rows, table in (keyed[:1] if batch.same_keys else keyed)
             ]
         )
-    gate(report)
+    )
 
     dates_name = f"{db}.{schemas.ARRIVAL_DATE.name}"
     known = spark.table(dates_name).select("arrival_date")
@@ -158,7 +170,22 @@ def refresh_demographics(
         staged.append((spark.table(f"{db}.{stage.name}"), table))
     gate(batch_report(staged, ALL_CHECKS))
     (staged_totals, _), (staged_races, _) = staged
-    tables.replace_rows(
-        spark, star.narrow_totals(staged_totals), f"{db}.{schemas.STATE_DEMOGRAPHICS.name}"
+    tables.replace_whole(
+        spark,
+        {
+            f"{db}.{schemas.STATE_DEMOGRAPHICS.name}": star.narrow_totals(staged_totals),
+            f"{db}.{schemas.STATE_DEMOGRAPHICS_BY_RACE.name}": staged_races,
+        },
+    )
+
+
+def refresh_demographics_json(
+    spark: SparkSession, db: str, totals_path: str, races_path: str
+) -> None:
+    """Replaces both demographic tables from two directories of JSON lines."""
+    refresh_demographics(
+        spark,
+        db,
+        read_typed_json(spark, totals_path, schemas.STAGE_STATE_DEMOGRAPHICS),
+        read_typed_json(spark, races_path, schemas.STAGE_STATE_DEMOGRAPHICS_BY_RACE),
     )
-    tables.replace_rows(spark, staged_races, f"{db}.{schemas.STATE_DEMOGRAPHICS_BY_RACE.name}")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
 
 
 def _header_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as trimmed text, named by the header."""
-    return spark.read.csv(
-        path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
-    )
+    """All columns as trimmed text, named by the header of one file; a file whose header
+    differs, be it in the order only, is an error when it is read."""
+    how = {"header": True, "ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True}
+    names = spark.read.csv(path, **how).columns
+    schema = ", ".join(f"`{name}` STRING" for name in names)
+    return spark.read.schema(schema).csv(path, enforceSchema=False, **how)
 
 
 def read_lookup(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
@@ -21,8 +23,13 @@ def read_lookup(spark: SparkSession, path: str, columns: tuple[str, ...]) -> Dat
 
 
 def read_arrivals(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """One month's arrival records, from Parquet or from CSV with a header."""
+    """One month's arrival records, from Parquet or from CSV with a header. A column that
+    is not there is an error; the files of one folder must have the same columns."""
     if file_format == "parquet":
+        there = spark.read.option("mergeSchema", "false").parquet(path).columns
+        missing = [name for name, _, _ in schemas.ARRIVAL_COLUMNS if name not in there]
+        if missing:
+            raise ValueError(f"{path} lacks {missing}")
         return spark.read.schema(schemas.ARRIVALS_RAW).parquet(path)
     if file_format == "csv":
         return _header_csv(spark, path).select(
@@ -38,7 +45,15 @@ def read_demographics(spark: SparkSession, path: str) -> DataFrame:
 
 def read_typed_json(spark: SparkSession, path: str, table: schemas.Table) -> DataFrame:
     """JSON lines in the types of a table. Fields are matched by name and may be
-    numbers or text ("201602"); a value that its type cannot hold is an error."""
+    numbers or text ("201602"); a value that its type cannot hold is an error, whatever
+    the session's ANSI setting."""
     as_text = ", ".join(f"`{name}` STRING" for name in table.names)
     rows = spark.read.schema(as_text).json(path, mode="FAILFAST")
-    return rows.select(*(F.col(c.name).cast(c.frame_type).alias(c.name) for c in table.columns))
+    return rows.select(*(_typed(c).alias(c.name) for c in table.columns))
+
+
+def _typed(column: schemas.Column) -> Column:
+    text = F.col(column.name)
+    value = text.try_cast(column.frame_type)
+    wrong = F.concat(F.lit(f"{column.name} is no {column.frame_type}: "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(wrong)).otherwise(value)

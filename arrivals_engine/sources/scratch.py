@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that the session names in spark.checkpoint.dir,
-    which all executors share. Only a local session may go without that setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
+    """A fresh path in the folder that the session names in spark.checkpoint.dir, or else
+    in its warehouse; all executors share both."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}_{uuid4().hex}"

@@ -6,8 +6,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
+from arrivals_engine.sources.scratch import scratch_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -84,8 +86,26 @@ def append_rows(spark: SparkSession, rows: DataFrame, full_name: str) -> None:
     _in_table_order(spark, rows, full_name).write.mode("append").insertInto(full_name)
 
 
+def replace_whole(spark: SparkSession, new: dict[str, DataFrame]) -> None:
+    """The rows of several tables (by full name) anew. All are written to fresh folders
+    first; then each table is pointed to its new one. A write that fails leaves every table
+    as it was. The switches are quick but one after another, so a reader in between may see
+    one table of before and one of after. Old folders stay for readers that are still on
+    them."""
+    paths = {}
+    for name, rows in new.items():
+        wanted = spark.table(name).schema
+        paths[name] = scratch_path(spark, name.rpartition(".")[2])
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted]
+        rows.select(*typed).write.parquet(paths[name])
+    for name, path in paths.items():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+
+
 def replace_rows(spark: SparkSession, rows: DataFrame, full_name: str) -> None:
-    """The whole table anew."""
+    """The whole table anew, for staging: the rows of before go first, so a write that fails
+    leaves the table empty."""
     with _overwriting(spark, "static"):
         _in_table_order(spark, rows, full_name).write.mode("overwrite").insertInto(full_name)
 

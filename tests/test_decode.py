@@ -116,22 +116,45 @@ def test_large_lookups_give_the_same(spark):
         )
     )
     broadcast = decode.decode(many, lookups(spark))
-    salted = decode.decode(many, lookups(spark, max_broadcast_bytes=0))
-    assert salted.columns == broadcast.columns
-    assert rows(salted) == rows(broadcast)
+    merged = decode.decode(many, lookups(spark, max_broadcast_bytes=0))
+    assert merged.columns == broadcast.columns
+    assert rows(merged) == rows(broadcast)
 
 
-def test_a_frequent_key_is_spread_over_all_salts(spark):
-    hot = spark.range(10_000).selectExpr("id", "'NYC' AS i94port")
+def test_a_large_lookup_that_compresses_well_is_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "ports")
+    many = spark.range(100_000).selectExpr(
+        "concat('P', id) AS port_code", "repeat('x', 60) AS port_city", "'NY' AS port_state_code"
+    )
+    many.coalesce(1).write.parquet(path)
+    ports = spark.read.parquet(path)
+    assert measure_lookups({"p": (ports, "port_code")})["p"].bytes > 10 << 20
+    hot = spark.range(1000).selectExpr("id", "concat('P', id % 3) AS i94port")
+    joined = joins.lookup_join(hot, ports, "i94port", "port_code", small=False)
+    assert "SortMergeJoin" in plan(joined) and "Broadcast" not in plan(joined)
+    assert "Generate" not in plan(joined)
+
+
+def test_a_frequent_code_is_split_by_adaptive_execution(spark):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    hot = spark.range(0, 100_000, numPartitions=8).selectExpr(
+        "sha2(string(id), 256) AS h", "if(id % 100 > 0, 'NYC', concat('X', id)) AS i94port"
+    )
     ports = lookup_frames(spark)[0]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    for name, value in conf.items():
+        spark.conf.set(name, value)
     try:
         joined = joins.lookup_join(hot, ports, "i94port", "port_code", small=False)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert joined.filter("port_city = 'NEW YORK'").count() == 10_000
+        parted = joined.groupBy(F.spark_partition_id())
+        sizes = parted.agg(F.count("*").alias("count"), F.max("h")).collect()
+        assert joined.filter("port_city = 'NEW YORK'").count() == 99_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(sizes) == 8
-    assert max(r["count"] for r in sizes) < 3_000
+        for name in conf:
+            spark.conf.unset(name)
+    assert len(sizes) > 4
+    assert max(r["count"] for r in sizes) < 50_000

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from arrivals_engine import catalogue, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "orders", "lineitem")
@@ -37,14 +38,14 @@ def in_order(rows):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(catalogue.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(catalogue.queries()))
 def test_matches_sql(spark, duck, name):
-    frame = spark_entry.queries()[name](spark, SF_DIR)
+    frame = catalogue.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)
-    relation = duck.sql(spark_entry.oracle_sql()[name])
+    relation = duck.sql(oracle.oracle_sql()[name])
     assert sorted(relation.columns) == columns
 
     duck_types = dict(zip(relation.columns, map(str, relation.types)))
