@@ -8,15 +8,20 @@ all pairs:
 1. Two linked sets share at least one of the first n - ceil(0.8 n) + 1 elements of each. The
    prefixes used are longer by ``spare``, so linked sets share that many more of them:
    ``least_shared`` for a partner of any size.
-2. An element in more than ``hot`` prefixes is dropped from the search for all classes whose
-   prefix has fewer hot elements than ``least_shared``: these meet their partners at others.
-3. Round one pairs each class with the smallest class of each of its prefix elements only, so
-   a large group of near copies gives as many pairs as it has members. Round two pairs classes
-   at the same element which round one left in different components.
-4. Pairs that share too few elements for the bound are dropped. For the rest, the sets that one
-   class is paired with are stored in a radix tree, in chunks of bounded size; its own set goes
-   down the tree once, so paths that several sets begin with are compared once, and leaves a
-   subtree as soon as the elements left cannot reach the needed intersection.
+2. Of its prefix a class leaves out the elements that are the commonest, one less than it
+   shares with any partner, so it meets each partner at another one. What many texts quote
+   is thus left out, unless a text is made of it.
+3. Each class is paired with one class of each of its elements only, that with the commonest
+   elements, so a large group of near copies gives about as many pairs as it has members.
+4. Classes that share an element of at most ``hot`` classes, and that are in different
+   components so far, are paired. Pairs of both kinds that share too few elements for what is
+   left of the sets to make up for it are dropped. For the others, the sets that one class is
+   paired with are stored in a radix tree, in chunks of bounded size. Its own set goes down
+   the tree once: what several sets begin with is compared once, and a subtree is left as soon
+   as the elements left cannot reach the needed intersection.
+5. Classes that are connected by other elements are searched in pairs of blocks, one in a tree,
+   without pairing blocks of one component. So the work on a group of near copies is the
+   number of those that the steps before did not connect times its size.
 
 All steps are joins and counts on hashed keys; the result is exact, whatever ``hot`` is. Only
 classes with enough shared elements have their sets made again and shuffled.
@@ -29,7 +34,6 @@ from it; its component_id is null if no reachable document has one. Other column
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +41,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import UPPER, WORD, Scratch
+from arrivals_engine.llm.common import UPPER, Scratch
 from arrivals_engine.llm.components import smallest_reachable
 
 SHINGLE = 5
 PERCENT = 80
 
 _TABLE = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-_word = re.compile(WORD.encode("ascii"))
+class WordHashes(dict):
+    """64-bit hashes of words, each made once while there is room."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 200_000:
+            self.clear()
+        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+        self[word] = found
+        return found
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -54,24 +66,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, known: dict[bytes, int]) -> np.ndarray:
-    """The sorted hashes of the distinct shingles. known: word hashes, to make each once."""
-    words = _word.findall((text or "").encode("utf-8", "surrogatepass").translate(_TABLE))
+#: Odd multipliers that tell the places in a shingle apart, unrelated to one another.
+_PLACES = _mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def shingle_set(text: str | None, known: WordHashes) -> np.ndarray:
+    """The sorted hashes of the distinct shingles."""
+    # For bytes, split() without arguments splits at the six ASCII white-space characters.
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     if not words:
         return np.zeros(0, np.int64)
-    hashes = np.empty(len(words), np.uint64)
-    for k, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-            if len(known) < 200_000:
-                known[w] = h
-        hashes[k] = h
+    hashes = np.fromiter(map(known.__getitem__, words), np.int64, len(words)).view(np.uint64)
     size = min(SHINGLE, len(words))
     total = np.full(len(words) - size + 1, size, np.uint64)
     for k in range(size):
-        total = _mixed(total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(words) - size + 1 + k])
-    return np.unique(total.view(np.int64))
+        total += hashes[k : len(words) - size + 1 + k] * _PLACES[k]
+    return np.unique(_mixed(total).view(np.int64))
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -169,7 +179,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame) -> DataFrame:
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for rows in batches:
             out = []
             for text in rows["text"]:
@@ -188,7 +198,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, tokens) of wanted classes (node, sig, rep), made again from the text of rep."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, int] = {}
+        known = WordHashes()
         for rows in batches:
             nodes, sets = [], []
             for node, sig, text in zip(rows["node"], rows["sig"], rows["text"], strict=True):
@@ -254,9 +264,9 @@ def _groups(batches: Iterator[pd.DataFrame], chunk: int):
 
 def _enough(shared: DataFrame, classes: DataFrame) -> DataFrame:
     """Of (a, b, shared) those pairs that may be linked: ``shared`` elements of both prefixes,
-    and at most as many hot ones as the prefix with fewer of them has."""
+    and at most as many more as one of the two has left out."""
     side = lambda s: classes.select(
-        F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "size", "last", "n_hot"))
+        F.col("node").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n", "size", "last", "n_out"))
     )
     rows = shared.join(side("a"), "a").join(side("b"), "b")
     rest_a, rest_b = F.col("n_a") - F.col("size_a"), F.col("n_b") - F.col("size_b")
@@ -265,13 +275,15 @@ def _enough(shared: DataFrame, classes: DataFrame) -> DataFrame:
         .when(F.col("last_a") > F.col("last_b"), rest_b)
         .otherwise(F.least(rest_a, rest_b))
     )
-    most = F.col("shared") + F.least("n_hot_a", "n_hot_b") + rest
+    most = F.col("shared") + F.greatest("n_out_a", "n_out_b") + rest
     enough = most * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
     alike = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
     return rows.where(enough & alike).select("a", "b")
 
 
-def components(docs: DataFrame, *, hot: int = 64, chunk: int = 64) -> DataFrame:
+def components(
+    docs: DataFrame, *, hot: int = 32, chunk: int = 64, block: int = 256
+) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of docs."""
     scratch = Scratch(docs.sparkSession, "shingles")
     made = scratch.put(_sets(docs), "sets")
@@ -285,26 +297,32 @@ def components(docs: DataFrame, *, hot: int = 64, chunk: int = 64) -> DataFrame:
     scratch.drop("sets")
 
     counts = rows.groupBy("token").count().where(F.col("count") > 1)
-    shared = rows.join(counts, "token").select("node", "token", (F.col("count") > hot).alias("hot"))
+    shared = rows.join(counts, "token").select("node", "token", "count")
     shared = scratch.put(shared, "shared")
     scratch.drop("prefixes")
-    used, able = _search_space(shared, classes, scratch)
+    used, able = _search_space(shared, classes, hot, scratch)
     scratch.drop("shared")
     sets = scratch.put(_whole_sets(docs, able.select("node", "sig", "rep")), "able_sets")
 
-    leaders = used.groupBy("token").agg(F.min("node").alias("a"))
+    # The leader of an element is the class whose elements are the most common: the text
+    # that others are copies of, rather than one of the copies.
+    leaders = used.groupBy("token").agg(
+        F.max_by("node", F.struct("weight", -F.col("node"))).alias("a")
+    )
     stars = (
         used.join(leaders, "token")
         .where(F.col("node") != F.col("a"))
         .groupBy("a", F.col("node").alias("b"))
         .agg(F.count("*").alias("shared"))
     )
-    first = scratch.put(_verified(_enough(stars, able), sets, chunk), "links_1")
-    label = smallest_reachable(first, scratch, "star")
-    across = _across(used, label, scratch)
-    second = scratch.put(_verified(_enough(across, able), sets, chunk), "links_2")
-    scratch.drop("able_sets", "used", "mixed")
-    links = first.unionByName(second).unionByName(_same_id(each, classes))
+    links = scratch.put(_verified(_enough(stars, able), sets, chunk), "links_1")
+    label = smallest_reachable(links, scratch, "star")
+    across = _enough(_across(used, label, scratch), able)
+    links = links.unionByName(scratch.put(_verified(across, sets, chunk), "links_2"))
+    label = smallest_reachable(links, scratch, "more")
+    in_blocks = _linked_in_blocks(_blocks(used, label, able, scratch, block), sets)
+    links = links.unionByName(scratch.put(in_blocks, "links_3")).unionByName(_same_id(each, classes))
+    scratch.drop("able_sets", "used")
     return _named(each, classes, smallest_reachable(links, scratch, "all"))
 
 
@@ -323,22 +341,43 @@ def _classes(made: DataFrame) -> DataFrame:
     )
 
 
-def _search_space(shared: DataFrame, classes: DataFrame, scratch: Scratch):
-    """The (node, token) that the search goes by, and the classes that may have links."""
+def _search_space(shared: DataFrame, classes: DataFrame, hot: int, scratch: Scratch):
+    """The (node, token, hot, weight) that the search goes by, and the classes that may have
+    links at all. ``limit``: elements of more classes are left out; n_out is their number."""
     per_node = shared.groupBy("node").agg(
-        F.count("*").alias("n_shared"), F.sum(F.col("hot").cast("long")).alias("n_hot")
+        F.sort_array(F.collect_list("count"), asc=False).alias("counts"),  # as many as its prefix
+        F.avg("count").alias("weight"),
     )
-    able = classes.join(per_node, "node").where(F.col("n_shared") >= F.col("least"))
-    able = scratch.put(able.withColumn("safe", F.col("n_hot") < F.col("least")), "able")
-    used = shared.join(able.select("node", "safe"), "node").where(~F.col("hot") | ~F.col("safe"))
-    return scratch.put(used.select("node", "token"), "used"), able
+    able = (
+        classes.join(per_node, "node")
+        .where(F.size("counts") >= F.col("least"))
+        .withColumn("limit", F.element_at("counts", F.col("least").cast("int")))
+        .withColumn("n_out", F.size(F.filter("counts", lambda x: x > F.col("limit"))))
+        .drop("counts")
+    )
+    able = scratch.put(able, "able")
+    kept = shared.join(able.select("node", "limit", "weight"), "node")
+    kept = kept.where(F.col("count") <= F.col("limit")).select("node", "token", "weight")
+    kept = scratch.put(kept, "kept")
+    counts = kept.groupBy("token").count().where(F.col("count") > 1)
+    used = kept.join(counts, "token").select(
+        "node", "token", (F.col("count") > hot).alias("hot"), "weight"
+    )
+    used = scratch.put(used, "used")
+    scratch.drop("kept")
+    return used, able
+
+
+def _part(rows: DataFrame, label: DataFrame, name: str) -> DataFrame:
+    """rows with the component, so far, of each node."""
+    label = label.select(F.col("id").alias("node"), F.col("smallest").alias(name))
+    return rows.join(label, "node", "left").withColumn(name, F.coalesce(name, "node"))
 
 
 def _across(used: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b, shared) of classes at the same elements that are in different components."""
-    named = used.join(label, F.col("node") == label["id"], "left").select(
-        "token", "node", F.coalesce("smallest", "node").alias("part")
-    )
+    """(a, b, shared) of classes that share an element which is not hot and that are in
+    different components. At most ``hot`` for each row."""
+    named = _part(used.where(~F.col("hot")).select("token", "node"), label, "part")
     span = named.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q"))
     mixed = span.where(F.col("p") < F.col("q")).select("token")
     named = scratch.put(named.join(mixed, "token"), "mixed")
@@ -352,6 +391,94 @@ def _across(used: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
+def _blocks(
+    used: DataFrame, label: DataFrame, able: DataFrame, scratch: Scratch, block: int
+) -> DataFrame:
+    """(blocks, side, node, part): pairs of blocks of classes that hot elements connect, each
+    class in one block of about so many classes of mean size. A large component has blocks of
+    its own, which are not paired with one another; small ones are put together."""
+    hot = used.where(F.col("hot")).select("token", "node")
+    first = hot.groupBy("token").agg(F.min("node").alias("a"))
+    edges = hot.join(first, "token").select("a", F.col("node").alias("b")).distinct()
+    groups = smallest_reachable(scratch.put(edges, "hot_edges"), scratch, "hot")
+    nodes = _part(_part(edges.select(F.col("b").alias("node")).distinct(), groups, "group"), label, "part")
+    # A class counts for one, or for as much as its set is longer than 2000 elements.
+    nodes = nodes.join(able.select("node", F.greatest(F.lit(1.0), F.col("n") / 2000).alias("of")), "node")
+    sizes = nodes.groupBy("group", "part").agg(F.sum("of").alias("n"))
+    large = F.col("n") >= block
+    pools = sizes.groupBy("group").agg(
+        F.sum(F.when(~large, F.col("n")).otherwise(0)).alias("pool"), F.count("*").alias("parts")
+    )
+    dealt = (
+        nodes.join(sizes, ["group", "part"])
+        .join(pools.where(F.col("parts") > 1), "group")
+        .select(
+            "group",
+            "node",
+            "part",
+            F.when(large, F.col("part")).alias("own"),
+            F.when(large, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / block)))
+            .otherwise(F.pmod(F.xxhash64("part"), F.ceil(F.greatest("pool", F.lit(1)) / block)))
+            .alias("k"),
+        )
+        .withColumn("block", F.concat_ws("/", F.coalesce("own", F.lit(-1)), "k"))
+    )
+    dealt = scratch.put(dealt, "blocks")
+    kinds = dealt.select("group", "block", "own").distinct()
+    one = kinds.select("group", F.col("block").alias("p"), F.col("own").alias("own_p"))
+    two = kinds.select("group", F.col("block").alias("q"), F.col("own").alias("own_q"))
+    pairs = one.join(two, "group").where(
+        (F.col("p") <= F.col("q")) & ~F.coalesce(F.col("own_p") == F.col("own_q"), F.lit(False))
+    )
+    named = pairs.select("group", "p", "q", F.concat_ws(" ", "group", "p", "q").alias("blocks"))
+    left = named.select("group", F.col("p").alias("block"), F.lit(0).alias("side"), "blocks")
+    right = named.where(F.col("p") != F.col("q")).select(
+        "group", F.col("q").alias("block"), F.lit(1).alias("side"), "blocks"
+    )
+    return dealt.join(left.unionByName(right), ["group", "block"]).select(
+        "blocks", "side", "node", "part"
+    )
+
+
+def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The linked pairs (a, b) of different components in each pair of blocks."""
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for members in _by_blocks(batches):
+            tree, parts, found = RadixTree(), {}, []
+            both = members[-1][0] == 1
+            for side, node, part, tokens in members:
+                if side == 1 or not both:
+                    found += [(node, b) for b in tree.linked(tokens) if parts[b] != part]
+                if side == 0:
+                    tree.add(tokens, node)
+                    parts[node] = part
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return (
+        rows.join(sets.dropDuplicates(["node"]), "node")
+        .repartition("blocks")
+        .sortWithinPartitions("blocks", "side", "node")
+        .mapInPandas(search, "a long, b long")
+    )
+
+
+def _by_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    """The (side, node, part, tokens) of one pair of blocks after the other."""
+    now, members = None, []
+    for rows in batches:
+        for blocks, side, node, part, tokens in rows[
+            ["blocks", "side", "node", "part", "tokens"]
+        ].itertuples(index=False):
+            if blocks != now and members:
+                yield members
+                members = []
+            now = blocks
+            members.append((side, int(node), int(part), np.asarray(tokens)))
+    if members:
+        yield members
+
+
 def _same_id(each: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes that documents with the same id are in."""
     ids = each.where(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "sig")
