@@ -384,6 +384,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_unique_keys": lambda t: _star_report(t, "unique_key"),
     "dq_required": lambda t: _star_report(t, "required"),
     "dq_fit": demographics_fit,
+    "rejected_values": lambda t: quality.rejected_report(fixtures.raw_arrivals(t)),
     "dq_key_surplus": lambda t: quality.surplus_rows(t.lineitem, LINEITEM.key),
     "dq_duplicate_keys": lambda t: quality.duplicate_keys(t.lineitem, LINEITEM.key),
     "gate_blocks_duplicates": gate_blocks_duplicates,

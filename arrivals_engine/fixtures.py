@@ -44,17 +44,23 @@ def raw_arrivals(t: Tables) -> DataFrame:
     number = F.datediff(F.col("day"), F.lit(DAY_ZERO).cast("date"))
     year = F.year("day")
     rows = joined.select(
-        _unless(97, key).cast("double").alias("admnum"),
+        # Numbers with a fraction, which is cut off.
+        (_unless(97, key).cast("double") + F.when(key % 101 == 0, 0.5).otherwise(0.0)).alias("admnum"),
         year.cast("double").alias("i94yr"),
         F.month("day").cast("double").alias("i94mon"),
         F.col("c_nationkey").cast("double").alias("i94cit"),
-        F.concat(F.lit("S"), (customer % 8).cast("string")).alias("i94addr"),
-        F.concat(F.lit("P"), (key % 30).cast("string")).alias("i94port"),
+        _unless(71, F.concat(F.lit("S"), (customer % 8).cast("string"))).alias("i94addr"),
+        _unless(73, F.concat(F.lit("P"), (key % 30).cast("string"))).alias("i94port"),
         _unless(53, number).cast("double").alias("arrdate"),
         _unless(11, number + key % 90).cast("double").alias("depdate"),
-        (key % 5).cast("double").alias("i94mode"),
-        _unless(13, customer % 80).cast("double").alias("i94bir"),
-        _unless(13, year - customer % 80).cast("double").alias("biryear"),
+        _unless(67, key % 5).cast("double").alias("i94mode"),
+        # No number, and one that no int can hold: both are missing.
+        F.when(key % 89 == 0, float("nan"))
+        .otherwise(_unless(13, customer % 80).cast("double"))
+        .alias("i94bir"),
+        F.when(key % 79 == 0, 1e12)
+        .otherwise(_unless(13, year - customer % 80).cast("double"))
+        .alias("biryear"),
         (1 + key % 4).cast("double").alias("i94visa"),
         _unless(7, F.concat(F.lit("V"), F.substring("o_orderpriority", 1, 1))).alias("visatype"),
         _unless(3, F.col("c_mktsegment")).alias("dtaddto"),

@@ -155,6 +155,30 @@ def collision_report(
     )
 
 
+def rejected_report(raw: DataFrame, max_rejected: int | None = None) -> DataFrame:
+    """One report row per number column of raw arrivals: how many values are there that its
+    type cannot hold, and so become missing. With `max_rejected`, a column with more fails."""
+    numbers = [(name, kind) for name, kind, typed in schemas.ARRIVAL_COLUMNS if kind != typed]
+    typed = {name: typed for name, _, typed in schemas.ARRIVAL_COLUMNS}
+    counts = raw.agg(
+        *(
+            F.count_if(F.col(n).isNotNull() & F.col(n).try_cast(typed[n]).isNull()).alias(n)
+            for n, _ in numbers
+        )
+    )
+    lines = [
+        F.struct(
+            F.lit("rejected").alias("check_name"),
+            F.lit("arrivals").alias("table_name"),
+            F.lit(n).alias("subject"),
+            F.col(n).alias("value"),
+            (F.lit(max_rejected is None) | (F.col(n) <= F.lit(max_rejected or 0))).alias("passed"),
+        )
+        for n, _ in numbers
+    ]
+    return counts.select(F.inline(F.array(*lines)))
+
+
 def gate(report: DataFrame) -> None:
     """Raises if any check failed. The report has a few rows per table."""
     failed = report.filter(~F.col("passed")).collect()

@@ -15,17 +15,19 @@ WITH joined AS (
 once AS (
   SELECT
     o_orderkey,
-    CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderkey AS DOUBLE) END AS admnum,
+    CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderkey AS DOUBLE) END
+      + CASE WHEN o_orderkey % 101 = 0 THEN 0.5 ELSE 0.0 END AS admnum,
     CAST(year(arr_day) AS DOUBLE) AS i94yr,
     CAST(month(arr_day) AS DOUBLE) AS i94mon,
     CAST(c_nationkey AS DOUBLE) AS i94cit,
-    'S' || CAST(o_custkey % 8 AS VARCHAR) AS i94addr,
-    'P' || CAST(o_orderkey % 30 AS VARCHAR) AS i94port,
+    CASE WHEN o_orderkey % 71 <> 0 THEN 'S' || CAST(o_custkey % 8 AS VARCHAR) END AS i94addr,
+    CASE WHEN o_orderkey % 73 <> 0 THEN 'P' || CAST(o_orderkey % 30 AS VARCHAR) END AS i94port,
     CASE WHEN o_orderkey % 53 <> 0 THEN CAST(day_no AS DOUBLE) END AS arrdate,
     CASE WHEN o_orderkey % 11 <> 0 THEN CAST(day_no + o_orderkey % 90 AS DOUBLE) END AS depdate,
-    CAST(o_orderkey % 5 AS DOUBLE) AS i94mode,
-    CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_custkey % 80 AS DOUBLE) END AS i94bir,
-    CASE WHEN o_orderkey % 13 <> 0
+    CASE WHEN o_orderkey % 67 <> 0 THEN CAST(o_orderkey % 5 AS DOUBLE) END AS i94mode,
+    CASE WHEN o_orderkey % 89 = 0 THEN CAST('NaN' AS DOUBLE)
+         WHEN o_orderkey % 13 <> 0 THEN CAST(o_custkey % 80 AS DOUBLE) END AS i94bir,
+    CASE WHEN o_orderkey % 79 = 0 THEN CAST(1e12 AS DOUBLE) WHEN o_orderkey % 13 <> 0
          THEN CAST(year(arr_day) - o_custkey % 80 AS DOUBLE) END AS biryear,
     CAST(1 + o_orderkey % 4 AS DOUBLE) AS i94visa,
     CASE WHEN o_orderkey % 7 <> 0 THEN 'V' || substr(o_orderpriority, 1, 1) END AS visatype,
@@ -57,8 +59,9 @@ typed AS (
     CAST(trunc(i94mon) AS INTEGER) AS i94mon, CAST(trunc(i94cit) AS INTEGER) AS i94cit,
     i94addr, i94port,
     CAST(trunc(arrdate) AS INTEGER) AS arrdate, CAST(trunc(depdate) AS INTEGER) AS depdate,
-    CAST(trunc(i94mode) AS INTEGER) AS i94mode, CAST(trunc(i94bir) AS INTEGER) AS i94bir,
-    CAST(trunc(biryear) AS INTEGER) AS biryear, CAST(trunc(i94visa) AS INTEGER) AS i94visa,
+    CAST(trunc(i94mode) AS INTEGER) AS i94mode,
+    CASE WHEN isfinite(i94bir) THEN CAST(trunc(i94bir) AS INTEGER) END AS i94bir,
+    TRY_CAST(trunc(biryear) AS INTEGER) AS biryear, CAST(trunc(i94visa) AS INTEGER) AS i94visa,
     visatype, dtaddto, gender
   FROM raw
 ),
@@ -299,6 +302,14 @@ OVER_STAR = {
 OVER_STAR |= {
     "decode_large_lookups": "SELECT * FROM decoded",
     "arrivals_parquet_roundtrip": OVER_STAR["visits"],
+    "rejected_values": """
+        SELECT 'rejected' AS check_name, 'arrivals' AS table_name, subject,
+               CAST(value AS BIGINT) AS value, true AS passed
+        FROM (UNPIVOT (
+            SELECT 0 AS admnum, 0 AS i94yr, 0 AS i94mon, 0 AS i94cit, 0 AS arrdate, 0 AS depdate,
+                   0 AS i94mode, CAST(count(*) FILTER (isnan(i94bir)) AS INTEGER) AS i94bir,
+                   CAST(count(*) FILTER (biryear = 1e12) AS INTEGER) AS biryear, 0 AS i94visa
+            FROM raw) ON COLUMNS(*) INTO NAME subject VALUE value)""",
     "publish_across_months": """
         SELECT 'new_key' AS check_name, 'visitor_analysis' AS table_name,
                'admission_id,arrival_date' AS subject,

@@ -14,6 +14,7 @@ from arrivals_engine.operators.quality import (
     batch_report,
     collision_report,
     gate,
+    rejected_report,
     union_all,
 )
 from arrivals_engine.plans import star
@@ -138,8 +139,12 @@ def publish_month(
     lookups: Lookups,
     mode: str = "replace",
     single_month: bool = False,
+    max_rejected: int | None = None,
 ) -> None:
-    """From one file of arrival records to the final tables."""
+    """From one file of arrival records to the final tables. With `max_rejected`, a file with
+    more values than that in a column that its type cannot hold is refused."""
+    if max_rejected is not None:
+        gate(rejected_report(raw, max_rejected))
     visits = star.build_visits(raw, lookups)
     publish_batch(spark, db, stage_visits(spark, db, visits, single_month), mode)
 
