@@ -8,7 +8,7 @@ having the same token there as the side has. Merges are local, so tokens that ar
 pairs are right as a whole, and the result equals that of encoding the text at once.
 
 Most pieces go through a fast implementation of the same vocabulary. Pieces with characters
-on whose classes the two libraries could differ go through the reference library itself.
+on whose classes the two libraries could differ go through the tokenizers library itself.
 Strings of special tokens in a text become those tokens, as they do there.
 
 Defined results: a null text is an empty one, without tokens. Equal long texts are encoded

@@ -8,7 +8,7 @@ from pathlib import Path
 import duckdb
 import pyarrow.parquet as pq
 import pytest
-from test_bpe import VOCABULARY, expected, library  # noqa: F401
+from test_bpe import expected, library  # noqa: F401
 from test_pairs import brute_components, brute_leaks, brute_lines, words
 
 import corpus_pipeline
