@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 GRAMS = (4, 3, 2, 1)
 _word = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
-_SPACED = "array<string>"
+_STRINGS = "array<string>"
 _CACHE = 100_000
 
 
@@ -57,25 +57,50 @@ class Model:
                 return sum(found) / len(found)
         return self.unseen
 
-    def predict(self, text: str | None, cache: dict[str, np.ndarray]) -> tuple[str, float]:
-        words = _word.findall((text or "").lower())
-        if not words or not self.langs:
+
+class Predictor:
+    """Predictions by one model; the sums of the tokens met last are kept."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.size = min(_CACHE, _CACHE * 20 // max(1, len(model.langs)))
+        self.rows = np.zeros((self.size, len(model.langs)))
+        self.row_of: dict[str, int] = {}
+
+    def _row(self, token: str) -> int:
+        """The row with the sum of the words in a token; row 0 for one without a word."""
+        at = self.row_of.get(token)
+        if at is None:
+            words = _word.findall(token)
+            at = len(self.row_of) + 1 if words else 0
+            if words:
+                self.rows[at] = sum(map(self.model.of_word, words))
+            self.row_of[token] = at
+        return at
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        counts = Counter((text or "").lower().split())
+        if not self.model.langs:
+            return UNKNOWN, 0.0
+        total, lettered = np.zeros(len(self.model.langs)), False
+        tokens = list(counts)
+        for k in range(0, len(tokens), self.size // 4):
+            part = tokens[k : k + self.size // 4]
+            if len(self.row_of) + len(part) + 1 > self.size:
+                self.row_of.clear()
+            at = np.fromiter(map(self._row, part), np.int64, len(part))
+            n = np.fromiter((counts[t] for t in part), float, len(part))
+            total += n @ self.rows[at]
+            lettered = lettered or bool(at.any())
+        if not lettered:
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in Counter(words).items():
-            v = cache.get(word)
-            if v is None:
-                v = self.of_word(word)
-                if len(cache) < _CACHE:
-                    cache[word] = v
-            total += n * v
         total = np.round(total, 6)
         best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        return self.model.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def _words_udf():
-    @F.pandas_udf(_SPACED)
+    @F.pandas_udf(_STRINGS)
     def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([_word.findall((t or "").lower()) for t in texts])
@@ -134,7 +159,7 @@ def fit(
     )
     words = _top_counts(counted, "word", langs, max_words)
 
-    @F.pandas_udf(_SPACED)
+    @F.pandas_udf(_STRINGS)
     def grams_of(values: pd.Series) -> pd.Series:
         padded = [f"\x02{w}\x03" for w in values]
         return pd.Series([[p[k : k + n] for n in GRAMS for k in range(len(p) - n + 1)] for p in padded])
@@ -155,10 +180,10 @@ def with_language(docs: DataFrame, model: Model, into: str = "language") -> Data
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, cache = Model(*sent.value), {}
+        predictor = Predictor(Model(*sent.value))
         for texts in batches:
             yield pd.DataFrame(
-                [model.predict(t, cache) for t in texts], columns=["lang_pred", "score"]
+                [predictor.predict(t) for t in texts], columns=["lang_pred", "score"]
             )
 
     return docs.withColumn(into, predict("text"))
