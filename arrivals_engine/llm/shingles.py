@@ -441,15 +441,19 @@ def _blocks(
 
 
 def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The linked pairs (a, b) of different components in each pair of blocks."""
+    """Of the linked pairs (a, b) in each pair of blocks as many as join its components."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members in _by_blocks(batches):
             tree, parts, found = RadixTree(), {}, []
+            joined: dict[int, int] = {}  # towards the component that a component is joined to
             both = members[-1][0] == 1
             for side, node, part, tokens in members:
-                if side == 1 or not both:
-                    found += [(node, b) for b in tree.linked(tokens) if parts[b] != part]
+                for b in tree.linked(tokens) if side == 1 or not both else ():
+                    p, q = _end(joined, part), _end(joined, parts[b])
+                    if p != q:
+                        joined[p] = q
+                        found.append((node, b))
                 if side == 0:
                     tree.add(tokens, node)
                     parts[node] = part
@@ -463,6 +467,12 @@ def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _end(joined: dict[int, int], part: int) -> int:
+    while part in joined:
+        joined[part] = part = joined.get(joined[part], joined[part])
+    return part
+
+
 def _by_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
     """The (side, node, part, tokens) of one pair of blocks after the other."""
     now, members = None, []
