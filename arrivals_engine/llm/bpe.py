@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -42,13 +44,10 @@ class Codec:
 
     def __init__(self, vocabulary: str, ranks: str | None):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(vocabulary)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        added = self.whole.get_added_tokens_decoder()
-        self.special = {t.content: i for i, t in added.items()}
+        self.vocabulary = vocabulary
+        with open(vocabulary, encoding="utf-8") as file:
+            self.special = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, names))) if names else None
         self.fast = None
@@ -68,6 +67,16 @@ class Codec:
             }
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
 
+    @cached_property
+    def whole(self):
+        """The library's own encoder; most tasks never need it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.vocabulary)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def _plain(self, text: str) -> list[int]:
         if not text:
             return []

@@ -52,6 +52,12 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def with_small_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Bounds what a Python worker holds at a time, for this session. Spark's own bound is four
+    times as large, too much for small executors whose workers hold a batch several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

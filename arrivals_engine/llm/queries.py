@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals_engine.llm import bpe, chat, decontaminate, html, langid, lines, quality, shingles, urls, warc
-from arrivals_engine.llm.common import Scratch, table
+from arrivals_engine.llm.common import Scratch, table, with_small_batches
 from arrivals_engine.sources.scratch import scratch_path
 
 #: Where the vocabulary files are; a path of the machine, the same on all executors.
@@ -131,7 +131,15 @@ FROM placed GROUP BY conv_id
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
+    return {name: _bounded(f) for name, f in globals().items() if re.match(r"op\d+_", name)}
+
+
+def _bounded(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with_small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,23 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals_engine.llm import bpe, decontaminate, lines, quality, shingles
-from arrivals_engine.llm.common import Scratch, table
+from arrivals_engine.llm.common import Scratch, table, with_small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules or the forest reject go."""
+    with_small_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that at least ten documents have go from all of them; the documents stay."""
+    with_small_batches(spark)
     return lines.drop_frequent_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays, that with the smallest id."""
+    with_small_batches(spark)
     return shingles.keep_one(docs)
 
 
@@ -35,6 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document the number and digest of its ids and the digest of their decoding."""
+    with_small_batches(spark)
     return bpe.token_digests(
         docs,
         public_tokenizers.path("byte_bpe_50k.json"),
