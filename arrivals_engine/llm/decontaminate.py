@@ -1,19 +1,20 @@
-"""Benchmark decontamination by spaced seeds, with DataFrame functions only.
+"""Benchmark decontamination by runs of words, with DataFrame functions only.
 
-Texts are words without ASCII white space, A-Z lower-cased. Each mask takes some positions of
-a window of ``SPAN`` words and ignores the others, so a hash of the taken ones still agrees
-where ignored words were substituted. Hashes of benchmark windows are joined with those of
-training windows. A hit names a document, an item and the distance between their windows; on
-that diagonal the words are compared one by one, and the document is contaminated if, in some
-stretch of ``window`` words of the item (all of it, if it is shorter), at least ``percent`` of
-the words agree.
+Texts are words without ASCII white space, A-Z lower-cased. A document is contaminated if, in
+some stretch of ``window`` words of an item (all of it, if it is shorter), at least ``percent``
+of the words agree with the document's at one distance. A stretch of L words of which s may
+differ has L - s agreeing words in at most s + 1 runs, so one run has (L - s) / (s + 1) words
+or more, rounded up: 4 of 20 words, 3 of 15, all of up to 4. Hashes of runs of that length are
+joined, of all windows of items and documents, so no stretch that agrees enough is missed. A
+hit names a document, an item and the distance between their runs; on that diagonal the words
+are compared one by one.
 
 Items of equal words are one item, named by its smallest id. The side of the benchmark is
 broadcast only if its counted seeds are at most ``broadcast_seeds``; beyond that the join
 shuffles and merges. Seeds of documents are shuffled only in that case.
 
-Defined results: items of fewer than ``SPAN`` words, null texts and items without id are not
-searched for. Null and empty texts match nothing. Rows with the same doc_id are one document;
+Defined results: items without a word or without id are not searched for. Null and empty texts
+match nothing. Rows with the same doc_id are one document;
 without doc_id, rows of the same text are. Other columns are kept, whatever their names.
 """
 
@@ -24,9 +25,8 @@ from pyspark.sql import functions as F
 
 from arrivals_engine.llm.common import SPACE, lower_ascii, row_identity, strip_space
 
-#: 1 takes the word at that position of the window, 0 ignores it.
-MASKS = ("1110100101", "1011010011")
-SPAN = 10
+#: The fewest words of an item that is searched for.
+SPAN = 1
 _DOC, _HITS = "_leak_doc", "_leak_hits"
 _HIT = "array<struct<item_id:bigint,shift:int,words:array<string>>>"
 
@@ -35,51 +35,66 @@ def words(text: Column) -> Column:
     return F.split(strip_space(lower_ascii(F.coalesce(text, F.lit("")))), SPACE)
 
 
-def _mask_seeds(hashes: Column, mask: str) -> Column:
-    """A hash for each window, in order; none if there are fewer words than SPAN."""
-    taken = [k for k, bit in enumerate(mask) if bit == "1"]
-    starts = F.sequence(F.lit(0), F.size(hashes) - SPAN)
+def run_length(n: Column, window: int, percent: int) -> Column:
+    """How many words in a row agree at least, where an item of n words agrees enough."""
+    stretch = F.least(n, F.lit(window))
+    needed = F.ceil(stretch * percent / F.lit(100))
+    return F.ceil(needed / (stretch - needed + 1)).cast("int")
+
+
+def _run_seeds(hashes: Column, run: int) -> Column:
+    """A hash for each run of words, in order; none if there are fewer words than that."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - run)
     seeds = F.transform(
-        starts, lambda at: F.xxhash64(F.lit(mask), *(F.get(hashes, at + k) for k in taken))
+        starts, lambda at: F.xxhash64(F.lit(run), *(F.get(hashes, at + k) for k in range(run)))
     )
-    return F.when(F.size(hashes) >= SPAN, seeds)
+    return F.when(F.size(hashes) >= run, seeds)
 
 
-def seeds(rows: DataFrame, name: str) -> DataFrame:
-    """(name, seed, at): the seeds of the words of rows (name, words), with their window."""
-    hashed = rows.select(
-        name, F.size("words").alias("n"), F.transform("words", lambda w: F.xxhash64(w)).alias("h")
-    )
-    both = F.concat(*(_mask_seeds(F.col("h"), mask) for mask in MASKS))
-    windows = F.greatest(F.col("n") - F.lit(SPAN - 1), F.lit(1))
+def seeds(rows: DataFrame, name: str, runs: list[int]) -> DataFrame:
+    """(name, seed, at): the seeds of the words of rows (name, words), with their place. With a
+    column run, a row has those of that length only."""
+    own = [F.col("run")] if "run" in rows.columns else []
+    hashed = rows.select(name, *own, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    parts = [_run_seeds(F.col("h"), run) for run in runs]
+    if own:
+        parts = [F.when(F.col("run") == run, part) for run, part in zip(runs, parts, strict=True)]
     # An inner explode would have the optimizer compute the array once more, in a filter.
+    none = F.array().cast("array<bigint>")
+    each = F.array(*(F.coalesce(part, none) for part in parts)) if parts else F.array(none)
     return (
-        hashed.select(name, windows.alias("windows"), both.alias("seeds"))
-        .select(name, "windows", F.posexplode_outer("seeds").alias("at", "seed"))
+        hashed.select(name, F.explode_outer(each).alias("seeds"))
+        .select(name, F.posexplode_outer("seeds").alias("at", "seed"))
         .where(F.col("seed").isNotNull())
-        .select(name, "seed", F.pmod("at", "windows").alias("at"))
+        .select(name, "seed", "at")
     )
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, words) of different items that are long enough."""
+    """(item_id, words) of different items that have words."""
     return (
         benchmark.select(F.col("item_id").cast("long"), words(F.col("text")).alias("words"))
-        .where(F.col("item_id").isNotNull() & (F.size("words") >= SPAN))
+        .where(F.col("item_id").isNotNull() & (F.size("words") >= SPAN) & (F.col("words")[0] != ""))
         .groupBy("words")
         .agg(F.min("item_id").alias("item_id"))
     )
 
 
-def hits(docs: DataFrame, items: DataFrame, broadcast_seeds: int) -> DataFrame:
+def hits(
+    docs: DataFrame, items: DataFrame, broadcast_seeds: int, window: int, percent: int
+) -> DataFrame:
     """(doc, hits): the items, with their words, and shifts at which seeds of the doc agree."""
-    wanted = seeds(items, "item_id").distinct()
-    small = wanted.limit(broadcast_seeds + 1).count() <= broadcast_seeds
+    sized = items.withColumn("run", run_length(F.size("words"), window, percent))
+    # A row for each length of runs, at most window.
+    counted = sized.groupBy("run").agg(F.sum(F.size("words") - F.col("run") + 1).alias("n")).collect()
+    runs = sorted(r["run"] for r in counted)
+    small = sum(r["n"] for r in counted) <= broadcast_seeds
+    wanted = seeds(sized, "item_id", runs)
     ours = docs.select(
         row_identity(F.col("doc_id"), F.col("text")).alias("doc"), words(F.col("text")).alias("words")
     )
     found = (
-        seeds(ours, "doc")
+        seeds(ours, "doc", runs)
         .withColumnRenamed("at", "doc_at")
         .join(F.broadcast(wanted) if small else wanted.hint("merge"), "seed")
         .select("doc", "item_id", (F.col("doc_at") - F.col("at")).cast("int").alias("shift"))
@@ -122,7 +137,9 @@ def with_leaks(
     into: str = "leaks",
 ) -> DataFrame:
     """docs and an array column ``into`` of (item_id, agree, stretch), empty for clean rows."""
-    found = hits(docs, items_of(benchmark), broadcast_seeds)
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be over 0 and at most 100, not {percent}")
+    found = hits(docs, items_of(benchmark), broadcast_seeds, window, percent)
     found = found.select(F.col("doc").alias(_DOC), F.col("hits").alias(_HITS))
     mine = F.when(F.col(_HITS).isNotNull(), words(F.col("text")))
     name = "_leak_words"

@@ -1,10 +1,12 @@
 """Near duplicates, repeated lines and benchmark passages against brute force."""
 
+import itertools
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arrivals_engine.llm import components, decontaminate, lines, shingles
 from arrivals_engine.llm.common import UPPER, Scratch
@@ -230,3 +232,36 @@ def test_leaks_equal_brute_force(spark, broadcast_seeds):
     )
     assert decontaminate.leaks(docs.limit(0), benchmark).collect() == []
     assert decontaminate.leaks(docs, benchmark.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("n", [*range(1, 21), 23])
+def test_every_allowed_pattern_of_substitutions_has_a_run(n):
+    stretch = min(n, 20)
+    may_differ = stretch // 5
+    run = -(-(stretch - may_differ) // (may_differ + 1))
+    for gone in itertools.combinations(range(stretch), may_differ):
+        same = "".join("0" if k in gone else "1" for k in range(stretch))
+        assert "1" * run in same
+
+
+def test_leaks_with_as_many_substitutions_as_may_be(spark):
+    items, rows, shorter = [], [], []
+    for n in (1, 2, 4, 5, 7, 9, 10, 12, 15):
+        w = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(w)))
+        for k, gone in enumerate(itertools.combinations(range(n), n // 5)):
+            rows.append((n * 1000 + k, " ".join("x" if j in gone else x for j, x in enumerate(w))))
+        shorter.append((n * 1000 + 900, " ".join(["x"] * (n // 5 + 1) + w[n // 5 + 1 :])))
+    w = [f"i20w{k}" for k in range(20)]
+    items.append((20, " ".join(w)))
+    for k, gone in enumerate([(0, 5, 9, 10), (3, 7, 11, 15), (4, 8, 12, 16), (0, 1, 2, 3)]):
+        rows.append((20000 + k, "a b " + " ".join("x" if j in gone else x for j, x in enumerate(w))))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaks(frame(spark, rows + shorter), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i // 1000) for i, _ in rows}
+    lengths = spark.range(1, 60).select(
+        "id", decontaminate.run_length(F.col("id"), 20, 80).alias("run")
+    )
+    for n, run in lengths.collect():
+        stretch = min(n, 20)
+        assert run == -(-(stretch - stretch // 5) // (stretch // 5 + 1))
