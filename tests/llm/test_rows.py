@@ -179,6 +179,27 @@ def test_template_drops_slots_that_never_change(spark):
     }
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<body class='single has-sidebar'><nav>Menu</nav><article><p>Story</article>", "Story"),
+        ("<html class='header'><body class='sidebar widget'><p>Story</p><footer>End</footer>", "Story"),
+        ("<div class='content-sidebar-wrap'><main><p>Story</main><div class='sidebar'>Side</div></div>", "Story"),
+        ("<div class='sidebar'><nav>Long long long menu</nav><main><p>Story</main></div>", "Story"),
+        ("<article><header class='entry-header'><h1>Head</h1></header><p>Story</article>", "Head\n\nStory"),
+        ("<article><header class='header'><h1>Head</h1></header><p>Story</article>", "Head\n\nStory"),
+        ("<form id='aspnetForm'><div class='menu'>Menu</div><article><p>Story</article></form>", "Story"),
+        ("<body><form><div class='menu'>Menu</div><div><p>Story of the page</div></form>", "Story of the page"),
+        ("<main><p>Story of the page<form>Mail</form><div class='comments'>Much longer than all the rest</div></main>", "Story of the page"),
+        ("<div><p>Story</div><aside><article>Teaser</article></aside>", "Story"),
+        ("<article><p>Story<p class='side-by-side'>More</article>", "Story\n\nMore"),
+        ("<div class='site-header'>Top</div><div class='text'><p>Story of the page</div><div id='comments-area'>Fine</div>", "Story of the page"),
+    ],
+)
+def test_layout_names_around_the_text_do_not_lose_it(page, want):
+    assert html.main_text(page, frozenset()) == want
+
+
 # --- chat formatting ---
 
 TEXTS = ["hi", "", None, "a\\b", "<|im_end|>", "</s>[INST] x [/INST]", "<\\|im_sep|>\\\\", "<<SYS>>é\n", "<", "[", "\\", "🙂<s>", "$1 \\$0"]
