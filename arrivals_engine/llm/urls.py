@@ -4,7 +4,11 @@ A rule fits its host and all subdomains if the path begins with the rule's; of s
 fit, the longest wins. Pages that no rule judges are judged by their host: a personalised
 PageRank from the hosts of allowed pages flows along the links between hosts, and one from
 the hosts of blocked pages flows against them, as who links to blocked hosts earns distrust.
-A host is blocked if its distrust exceeds ``ratio`` times its trust and ``floor``.
+Ranks are counted in pages: those that restart at a host are its judged pages, so pages
+without links to it change nothing for it. They go round until no host's
+rank changes by more than ``settled`` pages; a rank below that may be missing. A host is blocked if its distrust then exceeds ``ratio`` times its trust and ``floor``
+pages. The columns trust and distrust are the ranks after ``rounds`` rounds, as a share of all
+judged pages of the kind, to 12 digits.
 
 Links are the absolute addresses in a page; a host is also linked, both ways, with the
 host that its name is a direct subdomain of, if that has two labels or more. Links are counted
@@ -97,29 +101,48 @@ def _shares(links: DataFrame, kind: str) -> DataFrame:
 
 
 def spread(
-    seeds: DataFrame, links: DataFrame, scratch: Scratch, *, rounds: int, damping: float, write_each: int
-) -> DataFrame:
-    """(kind, host, rank): PageRank that restarts at the seeds (kind, host, rank), trust along
-    the links and distrust against them."""
+    seeds: DataFrame,
+    links: DataFrame,
+    scratch: Scratch,
+    *,
+    rounds: int,
+    damping: float,
+    write_each: int,
+    settled: float,
+) -> tuple[DataFrame, DataFrame]:
+    """(kind, host, rank) after so many rounds, and settled: PageRank that restarts at the seeds
+    (kind, host, rank), trust along the links and distrust against them."""
     turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
     edges = scratch.put(_shares(links, "trust").unionByName(_shares(turned, "distrust")), "edges")
     start = scratch.put(seeds, "ranks_0")
-    ranks, written = start, 0
-    for k in range(1, rounds + 1):
-        moved = (
-            edges.join(ranks.withColumnRenamed("host", "a"), ["kind", "a"])
-            .groupBy("kind", F.col("b").alias("host"))
-            .agg(F.sum(F.col("weight") * F.col("rank")).alias("rank"))
-            .withColumn("rank", F.col("rank") * damping)
+    again = start.withColumn("rank", F.col("rank") * (1 - damping))
+    ranks, early, before, k, written = start, start, start, 0, 0
+    while True:
+        k += 1
+        moved = edges.join(ranks.withColumnRenamed("host", "a"), ["kind", "a"]).select(
+            "kind", F.col("b").alias("host"), (F.col("weight") * F.col("rank") * damping).alias("rank")
         )
-        again = start.withColumn("rank", F.col("rank") * (1 - damping))
         ranks = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if k % write_each == 0 or k == rounds:
             ranks = scratch.put(ranks, f"ranks_{k}")
-            if written:
+            early = ranks if k == rounds else early
+            # The change is that of all rounds since the last ranks that were written.
+            if k >= rounds and _is_settled(before, ranks, settled):
+                return early, ranks
+            if written not in (0, rounds):
                 scratch.drop(f"ranks_{written}")
-            written = k
-    return ranks
+            before, written = ranks, k
+
+
+def _is_settled(before: DataFrame, now: DataFrame, settled: float) -> bool:
+    both = before.withColumn("rank", -F.col("rank")).unionByName(now)
+    changed = both.groupBy("kind", "host").agg(F.abs(F.sum("rank")).alias("by"))
+    return (changed.agg(F.max("by")).first()[0] or 0.0) <= settled
+
+
+def _digits(rank: Column) -> Column:
+    """To 12 digits, whatever its size, as the order of sums changes the last ones."""
+    return F.format_string("%.11e", rank).cast("double")
 
 
 def judged(
@@ -131,6 +154,7 @@ def judged(
     write_each: int = 4,
     ratio: float = 1.0,
     floor: float = 1e-9,
+    settled: float = 1e-6,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), a row for each row of pages."""
     scratch = Scratch(pages.sparkSession, "urls")
@@ -140,20 +164,32 @@ def judged(
         F.when(F.col("fit.verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host"
     ).count()
     totals = kinds.groupBy("kind").agg(F.sum("count").alias("total"))
-    seeds = kinds.join(totals, "kind").select(
-        "kind", "host", (F.col("count") / F.col("total")).alias("rank")
+    seeds = kinds.select("kind", "host", F.col("count").cast("double").alias("rank"))
+    early, last = spread(
+        seeds,
+        host_links(rows),
+        scratch,
+        rounds=rounds,
+        damping=damping,
+        write_each=write_each,
+        settled=settled,
     )
-    ranks = spread(
-        seeds, host_links(rows), scratch, rounds=rounds, damping=damping, write_each=write_each
+    shares = early.join(totals, "kind").select(
+        "kind", "host", _digits(F.col("rank") / F.col("total")).alias("share"), F.lit(0.0).alias("rank")
     )
+    ranks = shares.unionByName(last.withColumn("share", F.lit(0.0)))
+    of = lambda kind, what: F.sum(F.when(F.col("kind") == kind, F.col(what)).otherwise(0.0))
     by_host = ranks.groupBy("host").agg(
-        *(
-            F.round(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)), 12).alias(k)
-            for k in ("trust", "distrust")
-        )
+        of("trust", "share").alias("trust"),
+        of("distrust", "share").alias("distrust"),
+        _digits(of("trust", "rank")).alias("trusting"),
+        _digits(of("distrust", "rank")).alias("distrusting"),
+    )
+    trust, distrust, trusting, distrusting = (
+        F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust", "trusting", "distrusting")
     )
-    trust, distrust = (F.coalesce(k, F.lit(0.0)) for k in ("trust", "distrust"))
-    by_method = F.when((distrust > floor) & (distrust > ratio * trust), "block").otherwise("allow")
+    blocked = (distrusting > floor) & (distrusting > ratio * trusting)
+    by_method = F.when(blocked, "block").otherwise("allow")
     # One row per host: counted first, ranks reach each page through a join on its host.
     return (
         rows.select("page_id", "host", "path", "fit")

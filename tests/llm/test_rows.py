@@ -146,6 +146,22 @@ def test_trust_and_distrust_spread_over_links(spark):
         assert r["distrust"] == pytest.approx(distrust.get(r["host"], 0), abs=1e-9)
 
 
+def test_unrelated_pages_do_not_change_verdicts_and_far_hosts_have_a_rank(spark):
+    link = lambda host: f'<a href="http://{host}/p">'
+    rows = [(0, "http://evil.net/x/1", ""), (1, "http://h1.org/", link("evil.net"))]
+    rows += [(k, f"http://h{k}.org/", link(f"h{k - 1}.org")) for k in range(2, 21)]
+    rows += [(50, "http://good.com/", link("both.org")), (51, "http://both.org/", link("evil.net") + link("x.org"))]
+    schema = "page_id long, url string, html string"
+    few = spark.createDataFrame(rows, schema)
+    other = spark.range(100, 300_100).selectExpr("id", "'http://spam.net/x/' AS url", "'' AS html")
+    more_good = spark.range(100, 200_100).selectExpr("id", "'http://fine.com/' AS url", "'' AS html")
+    verdicts = lambda pages: {r["page_id"]: r["verdict"] for r in urls.judged(pages, RULES).where("page_id < 100").collect()}
+    alone = verdicts(few)
+    assert all(alone[k] == "block" for k in range(21))
+    assert verdicts(few.union(other)) == alone
+    assert verdicts(few.union(more_good)) == alone
+
+
 # --- HTML extraction ---
 
 
