@@ -6,9 +6,11 @@ any, then to the next shorter ones. The language with the largest sum wins, ties
 the first by name; the score is its posterior for equal priors.
 
 The classifier is fitted on a bounded sample of labelled rows: of each language about
-``fit_rows`` with the smallest hashes of their id (all of a language that has fewer), of the
-``max_langs`` most frequent languages. It keeps the ``max_words`` most frequent words and
-``max_grams`` n-grams, so its size has a bound whatever the corpus; it is sent to all tasks.
+``fit_rows`` with the smallest hashes of their id (all of a language that has fewer), of every
+language. Each language has the same share of ``max_words`` and ``max_grams`` for its own most
+frequent words and n-grams, one at least, so the model's size has a bound for so many languages;
+it is sent to all tasks. Counts are scaled to the same total for each language before they are
+smoothed, so what no language knows prefers none.
 Prediction covers every row in one pass without a shuffle.
 
 Words are runs of letters (with marks and apostrophes inside), lower-cased. Defined results:
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -108,47 +110,68 @@ def _words_udf():
     return words
 
 
-def _sample(labelled: DataFrame, fit_rows: int, max_langs: int) -> tuple[DataFrame, list[str]]:
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    top = float(2**32)
-    share = F.lit(0.0)
-    for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, fit_rows / n))).otherwise(share)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) / top
-    return labelled.where(place < share).select("lang", "text"), sorted(r["lang"] for r in sizes)
-
-
-def _top_counts(rows: DataFrame, what: str, langs: list[str], most: int) -> pd.DataFrame:
-    """A row for each of the most frequent values of ``what``, with a count for each language."""
-    counts = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"l{k}") for k, x in enumerate(langs)]
-    return (
-        rows.groupBy(what)
-        .agg(F.sum("n").alias("all"), *counts)
-        .orderBy(F.desc("all"), what)
-        .limit(most)
-        .drop("all")
+def _sample(labelled: DataFrame, fit_rows: int) -> tuple[DataFrame, list[str]]:
+    sizes = labelled.groupBy("lang").count().collect()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) / float(2**32)
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame(
+        [(lang, min(1.0, fit_rows / n)) for lang, n in sizes], "lang string, share double"
+    )
+    # A row for each language.
+    rows = labelled.join(F.broadcast(shares), "lang").where(place < F.col("share"))
+    return rows.select("lang", "text"), sorted(r["lang"] for r in sizes)
+
+
+def _top_counts(rows: DataFrame, what: str, langs: list[str], most: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The most frequent values of ``what`` of each language, their counts in all languages,
+    and all counts of each language."""
+    counted = rows.groupBy("lang", what).agg(F.sum("n").alias("n"))
+    by_lang = Window.partitionBy("lang")
+    # The sample bounds what a language has.
+    placed = counted.select(
+        "lang",
+        what,
+        "n",
+        F.row_number().over(by_lang.orderBy(F.desc("n"), what)).alias("place"),
+        F.sum("n").over(by_lang).alias("total"),
+    )
+    each = max(1, most // len(langs))
+    kept = (
+        placed.groupBy(what)
+        .agg(F.min("place").alias("place"), F.collect_list(F.struct("lang", "n", "total")).alias("counts"))
+        .where(F.col("place") <= each)
+        .orderBy(what)
+        .select(what, "counts")
         .toPandas()
     )
+    column = {lang: k for k, lang in enumerate(langs)}
+    numbers, totals = np.zeros((len(kept), len(langs))), np.ones(len(langs))
+    for row, counts in enumerate(kept["counts"]):
+        for x in counts:
+            numbers[row, column[x["lang"]]] = x["n"]
+            totals[column[x["lang"]]] = x["total"]
+    return list(kept[what]), numbers, totals
 
 
-def _log_shares(counts: pd.DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    numbers = counts.iloc[:, 1:].to_numpy(float)
-    total = numbers.sum(axis=0) + 0.5 * (len(numbers) + 1)
-    logs = np.log((numbers + 0.5) / total)
-    return dict(zip(counts.iloc[:, 0], logs, strict=True)), np.log(0.5 / total)
+def _log_shares(
+    values: list[str], numbers: np.ndarray, totals: np.ndarray
+) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    same = totals.mean()
+    total = same + 0.5 * (len(values) + 1)
+    logs = np.log((numbers * (same / totals) + 0.5) / total)
+    return dict(zip(values, logs, strict=True)), np.full(len(totals), np.log(0.5 / total))
 
 
 def fit(
     labelled: DataFrame,
     *,
     fit_rows: int = 4000,
-    max_langs: int = 200,
     max_words: int = 100_000,
     max_grams: int = 100_000,
 ) -> Model:
     """A model from (doc_id, text, lang), rows without text or lang being left out."""
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sample, langs = _sample(rows, fit_rows, max_langs)
+    sample, langs = _sample(rows, fit_rows)
     if not langs:
         return Model([], {}, {}, np.zeros(0))
     counted = (
@@ -167,8 +190,8 @@ def fit(
     grams = _top_counts(
         counted.select("lang", "n", F.explode_outer(grams_of("word")).alias("gram")), "gram", langs, max_grams
     )
-    by_word, _ = _log_shares(words)
-    by_gram, unseen = _log_shares(grams)
+    by_word, _ = _log_shares(*words)
+    by_gram, unseen = _log_shares(*grams)
     return Model(langs, by_word, by_gram, unseen)
 
 

@@ -279,6 +279,22 @@ def test_held_out_accuracy_and_defined_results(spark, tmp_path):
     assert langid.predictions(docs.limit(0)).collect() == []
 
 
+def test_small_languages_keep_their_own_words_and_none_is_left_out(spark):
+    rng = random.Random(9)
+    big = [(k, " ".join(f"ab{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(30)), "big") for k in range(300)]
+    small = [(1000 + k, f"zwq{chr(97 + k)} oyx", f"l{k:03}") for k in range(3)]
+    many = [(2000 + k, f"{chr(97 + k % 26) * 3}{chr(97 + k // 26) * 3}", f"m{k:03}") for k in range(210)]
+    schema = "doc_id long, text string, lang string"
+    model = langid.fit(spark.createDataFrame(big + small, schema), max_words=40, max_grams=40)
+    assert {"oyx", "zwqa", "zwqb", "zwqc"} <= set(model.words)
+    assert len(set(model.unseen)) == 1
+    rows = spark.createDataFrame(big + many, schema)
+    model = langid.fit(rows)
+    assert len(model.langs) == 211
+    predictor = langid.Predictor(model)
+    assert all(predictor.predict(text)[0] == lang for _, text, lang in many)
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     one, two = np.array([-1.0, -2.0]), np.array([-3.0, -1.0])
     model = langid.Model(["a", "b"], {"known": one}, {"zz": two, "z": one}, np.array([-9.0, -9.0]))
