@@ -8,7 +8,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_engine.llm import bpe, chat, decontaminate, html, langid, lines, quality, shingles, urls, warc
+from arrivals_engine.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    html,
+    langid,
+    lines,
+    phrases,
+    quality,
+    shingles,
+    urls,
+    warc,
+)
 from arrivals_engine.llm.common import Scratch, table, with_small_batches
 from arrivals_engine.sources.scratch import scratch_path
 
@@ -79,6 +91,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -130,6 +146,61 @@ FROM placed GROUP BY conv_id
 """
 
 
+LEVELS = " UNION ALL ".join(
+    f"SELECT lang, {k} AS size, list_slice(ws, i, i + {k - 1}) AS phrase, count(*) AS f FROM place"
+    f" WHERE i + {k - 1} <= len(ws) GROUP BY lang, list_slice(ws, i, i + {k - 1})"
+    for k in range(1, 6)
+)
+
+OP11_SQL = f"""
+WITH piece AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\n-\r]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM piece
+), place AS (
+    SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM words WHERE len(ws) > 0
+), phrase AS (
+    {LEVELS}
+), total AS (
+    SELECT lang, sum(f) AS n FROM phrase WHERE size = 1 GROUP BY lang
+), candidate AS (
+    SELECT * FROM phrase WHERE size > 1 AND f >= 100
+), part AS (
+    SELECT lang, f, phrase, size, unnest(generate_series(2, size - 1)) AS k
+    FROM candidate WHERE size > 2
+), inside AS (
+    SELECT lang, f, phrase, k, unnest(generate_series(1, size - k + 1)) AS i FROM part
+), covered AS (
+    SELECT lang, list_slice(phrase, i, i + k - 1) AS phrase, max(f) AS cover
+    FROM inside GROUP BY ALL
+), kept AS (
+    SELECT c.* FROM candidate c LEFT JOIN covered USING (lang, phrase)
+    WHERE cover IS NULL OR 100 * cover < 100 * c.f
+), cut AS (
+    SELECT *, unnest(generate_series(1, size - 1)) AS k FROM kept
+), scored AS (
+    SELECT cut.lang, cut.phrase, cut.f AS a, k, l.f AS l, r.f AS r, n,
+        (1000::HUGEINT * cut.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM cut JOIN total USING (lang)
+    JOIN phrase l ON l.lang = cut.lang AND l.phrase = list_slice(cut.phrase, 1, k)
+    JOIN phrase r ON r.lang = cut.lang AND r.phrase = list_slice(cut.phrase, k + 1, cut.size)
+), weakest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+    SELECT lang, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+        array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+    FROM weakest
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+    CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
     return {name: _bounded(f) for name, f in globals().items() if re.match(r"op\d+_", name)}
 
@@ -143,4 +214,4 @@ def _bounded(query: Query) -> Query:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op6_chat_format": OP6_SQL, "op7_line_dedup": OP7_SQL, "op11_phrase_mining": OP11_SQL}
