@@ -17,6 +17,7 @@ from arrivals_engine.llm import (
     lines,
     phrases,
     quality,
+    runs,
     shingles,
     urls,
     warc,
@@ -95,6 +96,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.planted(table(spark, sf_dir, "documents")))
+
+
 OP7_SQL = f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
