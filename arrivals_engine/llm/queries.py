@@ -16,6 +16,7 @@ from arrivals_engine.llm import (
     langid,
     lines,
     phrases,
+    pii,
     quality,
     runs,
     shingles,
@@ -96,6 +97,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.planted(table(spark, sf_dir, "documents")))
 
