@@ -1,27 +1,29 @@
 """Phrase collocation mining by top-order marginalisation.
 
 Texts are lower-cased (A-Z), split at punctuation and line ends into pieces, and equal pieces
-of a language are kept once with their number. Columns that look ahead in a piece (``lead``)
-make of each word the longest window that starts there, five words or, padded, fewer; only
-these windows are counted. Their ROLLUP sums the counts of ever shorter prefixes, which are
-the counts of all shorter phrases, so no other n-grams are made.
+of a language are kept once with their number. Columns that look ahead in a piece make of each
+word the longest window that starts there, five words or, padded, fewer; only these windows are
+counted. Their ROLLUP sums the counts of ever shorter prefixes, which are the counts of all
+shorter phrases, so no other n-grams are made.
 
-A window is padded from the first pair of words on that is too rare to be part of a
-candidate. That leaves all counts of candidates as they are, and most pairs, which are rare,
-out of the sort and the count of windows. For this, words are counted first, and then pairs
-of words that are frequent themselves; the counts of single words come from there too.
+A window is padded from where two or three words follow that are too rare to be part of a
+candidate. That leaves all counts of candidates as they are, and most windows, which are rare,
+out of the count. Which those are is told by counts of hashes of two, and of frequent ones of
+these, three words: words that share a hash are at least as rare as it says, so none are left
+out that are frequent, and what is counted in the end are the words themselves.
 
 Defined results: a null or empty text has no words; a null language is ``und``. Rows are
 counted as often as they are there, whatever their ids. Ties of the score go by count, then by
 the phrase in UTF-8 byte order. Empty tables give no rows. Only text and lang are read of a
-table, so its other columns can have any name. A very long text is held by one task while it
-is split into pieces; a piece of any length is then one group of a sort that spills.
+table, so its other columns can have any name. A very long text, and then each of its pieces,
+is held by one task while it is split.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -38,6 +40,8 @@ UNKNOWN = "und"
 PAD = ""
 ORDER = 5
 EXACT = "decimal(38,0)"
+#: So many bits of a hash are counted: fewer bytes to shuffle, and still few words to one hash.
+HASH_BITS = 40
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,55 +66,85 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def piece_counts(docs: DataFrame) -> DataFrame:
-    """(lang, piece, key, m): every different piece of a language, its words joined by one
-    space, a digest, and how often it is there. Frequent lines and passages become one row."""
+    """(lang, piece, m): every different piece of a language, its words joined by one space,
+    and how often it is there. Frequent lines and passages become one row here."""
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     found = texts.mapInArrow(_pieces, "lang string, piece string, m long")
-    counted = found.groupBy("lang", "piece").agg(F.sum("m").alias("m"))
-    return counted.withColumn("key", F.unhex(F.md5("piece")))
+    return found.groupBy("lang", "piece").agg(F.sum("m").alias("m"))
 
 
-def _words(pieces: DataFrame, *more: str) -> DataFrame:
-    """Every word of a piece with the one after it, or PAD."""
-    split = pieces.select("lang", "m", *more, F.split("piece", " ").alias("words"))
-    after = F.coalesce(F.get("words", F.col("pos") + 1), F.lit(PAD))
-    return split.select("lang", "m", *more, "words", F.posexplode("words").alias("pos", "w1")).select(
-        "lang", "m", *more, "pos", "w1", after.alias("w2")
+WINDOW = [f"w{k}" for k in range(1, ORDER + 1)]
+
+
+def _ahead(pieces: DataFrame) -> DataFrame:
+    """Every word of a piece that is not its last, with the words after it, null behind the end."""
+    after = [F.get("words", F.col("pos") + k).alias(f"w{k + 1}") for k in range(1, ORDER)]
+    return (
+        pieces.select("lang", "m", F.split("piece", " ").alias("words"))
+        .select("lang", "m", "words", F.posexplode("words").alias("pos", "w1"))
+        .select("lang", "m", "w1", *after)
+        .where(F.col("w2").isNotNull())
     )
 
 
+def _hash(first: int, size: int) -> Column:
+    """Of so many words of a window from the first on, counted from 1, and their language."""
+    words = WINDOW[first - 1 : first - 1 + size]
+    return F.xxhash64("lang", *words).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
 def _word_counts(pieces: DataFrame) -> DataFrame:
     words = pieces.select("lang", "m", F.explode(F.split("piece", " ")).alias("w1"))
     return words.groupBy("lang", "w1").agg(F.sum("m").alias("f"))
 
 
-def _only(rows: DataFrame, known: DataFrame, key: list[str], most: int) -> DataFrame:
-    """The rows whose key is in known (key, f). Up to ``most`` keys are broadcast. Beyond that
-    only the most frequent ones are, each of which has at least one ``most``-th of all
-    occurrences, so there are no more than ``most``; the others are merged, and none of them
-    has more than such a part of the rows."""
-    counted = known.agg(F.count(F.lit(1)), F.sum("f")).first()
-    if counted[0] <= most:
-        return rows.join(F.broadcast(known.select(*key)), key, "left_semi")
-    heavy = F.broadcast(known.where(F.col("f") * most >= F.lit(counted[1])).select(*key))
-    return rows.join(heavy, key, "left_semi").unionByName(
-        rows.join(heavy, key, "left_anti").join(known.select(*key).hint("merge"), key, "left_semi")
-    )
-
-
-def _windows(pairs: DataFrame) -> DataFrame:
-    """(lang, w1 .. w5, f): the longest window from each pair on, padded from where the next
-    pair of the piece is not there. pairs: (lang, key, m, pos, w1, w2)."""
-    place = Window.partitionBy("lang", "key").orderBy("pos")
-    ahead = [
-        F.when(F.lead("pos", k).over(place) == F.col("pos") + k, F.lead("w2", k).over(place))
-        .otherwise(F.lit(PAD))
-        .alias(f"w{k + 2}")
-        for k in range(1, ORDER - 1)
-    ]
-    windows = pairs.select("lang", "m", "w1", "w2", *ahead)
-    names = [f"w{k}" for k in range(1, ORDER + 1)]
-    return windows.groupBy("lang", *names).agg(F.sum("m").alias("f"))
+@dataclass(frozen=True)
+class Hot:
+    """Hashes (hash, f) with as many occurrences as a candidate needs, their number and the sum
+    of their occurrences."""
+
+    rows: DataFrame
+    n: int
+    total: int
+
+    def mark(self, rows: DataFrame, key: str, most: int) -> DataFrame:
+        """rows with a column ``<key>_hot``, true or null. Up to ``most`` hashes are broadcast.
+        Beyond that only the most frequent ones are, each of which has at least one ``most``-th
+        of all occurrences, so there are no more than ``most``; the others are merged, and none
+        of them has more than such a part of the rows."""
+        flag = f"{key}_hot"
+        known = self.rows.select(F.col("hash").alias(key), "f", F.lit(True).alias(flag))
+        if self.n <= most:
+            return rows.join(F.broadcast(known.drop("f")), key, "left")
+        heavy = known.where(F.col("f") * most >= F.lit(self.total)).drop("f")
+        marked = rows.join(F.broadcast(heavy), key, "left")
+        rest = marked.where(F.col(flag).isNull()).drop(flag)
+        return marked.where(flag).unionByName(rest.join(known.drop("f").hint("merge"), key, "left"))
+
+
+def _hot(rows: DataFrame, hashed: Column, least: int, scratch: Scratch, name: str) -> Hot:
+    counted = rows.groupBy(hashed.alias("hash")).agg(F.sum("m").alias("f"))
+    kept = scratch.put(counted.where(F.col("f") >= least), name)
+    n, total = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum("f"), F.lit(0))).first()
+    return Hot(kept, n, total)
+
+
+def _windows(pieces: DataFrame, least: int, scratch: Scratch, most: int) -> DataFrame:
+    """(lang, w1 .. w5, f): the windows of all words, padded behind the last frequent words."""
+    twos = _hot(_ahead(pieces), _hash(1, 2), least, scratch, "twos")
+    begun = twos.mark(_ahead(pieces).withColumn("two", _hash(1, 2)), "two", most).where("two_hot")
+    more = begun.where(F.col("w3").isNotNull()).withColumn("next", _hash(2, 2))
+    more = twos.mark(more, "next", most).where("next_hot")
+    threes = _hot(more, _hash(1, 3), least, scratch, "threes")
+    windows = begun
+    for k in range(3, ORDER + 1):
+        # Behind the end of a piece the hash is that of fewer words, and the word stays null.
+        windows = threes.mark(windows.withColumn(f"h{k}", _hash(k - 2, 3)), f"h{k}", most)
+        told = F.col(f"h{k}_hot") & (F.lit(True) if k == 3 else F.col(f"kept{k - 1}") != PAD)
+        word = F.coalesce(F.when(told, F.col(f"w{k}")), F.lit(PAD))
+        windows = windows.withColumn(f"kept{k}", word)
+    kept = [F.col(f"kept{k}").alias(f"w{k}") for k in range(3, ORDER + 1)]
+    return windows.groupBy("lang", "w1", "w2", *kept).agg(F.sum("m").alias("f"))
 
 
 def _marginals(windows: DataFrame, least: int) -> DataFrame:
@@ -200,15 +234,7 @@ def collocations(
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))  # a row per language
     frequent = scratch.put(words.where(F.col("f") >= min_count), "frequent")
 
-    near = _words(pieces).where(F.col("w2") != PAD)
-    for side in ("w1", "w2"):
-        known = frequent.withColumnRenamed("w1", side)
-        near = _only(near, known, ["lang", side], most_broadcast)
-    pairs = near.groupBy("lang", "w1", "w2").agg(F.sum("m").alias("f"))
-    pairs = scratch.put(pairs.where(F.col("f") >= min_count), "pairs")
-
-    kept = _only(_words(pieces, "key"), pairs, ["lang", "w1", "w2"], most_broadcast)
-    windows = scratch.put(_windows(kept), "windows")
+    windows = scratch.put(_windows(pieces, min_count, scratch, most_broadcast), "windows")
     phrases = scratch.put(_marginals(windows, min_count), "phrases")
     counts = phrases.select("lang", "phrase", "f").unionByName(
         frequent.select("lang", F.col("w1").alias("phrase"), "f")
