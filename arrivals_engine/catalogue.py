@@ -264,9 +264,8 @@ def publish_across_months(t: Tables) -> DataFrame:
     db = _published(t)
     batch = publish.staged_batch(t.spark, db)
     moved = batch.fact.withColumn("year_month", F.lit(209912))
-    report = quality.collision_report(
-        moved, t.spark.table(f"{db}.visitor_analysis"), schemas.VISITOR_ANALYSIS, other_months=True
-    )
+    index = t.spark.table(f"{db}.{schemas.VISIT_KEYS.name}")
+    report = quality.collision_report(moved, index, schemas.VISITOR_ANALYSIS, other_months=True)
     try:
         publish.publish_batch(
             t.spark,
@@ -304,12 +303,102 @@ def over_published(t: Tables, report: Callable[..., DataFrame], *names: str) ->
 
 
 def tables_dropped(t: Tables) -> DataFrame:
-    """What the catalogue holds after creating and dropping all tables."""
-    db = new_warehouse(t.spark)
-    made = t.spark.sql(f"SHOW TABLES IN {db}").count()
+    """How many rows each published table has, and how many tables of its name are left after
+    all were dropped."""
+    db = _published(t)
+    flat = _flat(t)
+    publish.refresh_demographics(
+        t.spark, db, star.demographic_totals(flat), star.demographic_races(flat)
+    )
+    counts = [
+        t.spark.table(f"{db}.{table.name}").agg(
+            F.lit(table.name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for table in schemas.FINAL_TABLES + schemas.KEPT_TABLES
+    ]
+    path = scratch_path(t.spark, "table_counts")
+    quality.union_all(counts).write.parquet(path)
     tables.drop_tables(t.spark, db)
-    left = t.spark.sql(f"SHOW TABLES IN {db}").agg(F.count(F.lit(1)).alias("n_left"))
-    return left.select(F.lit(made).cast("long").alias("n_made"), "n_left")
+    left = [row.tableName for row in t.spark.sql(f"SHOW TABLES IN {db}").collect()]
+    is_left = F.col("table_name").isin(left).cast("long")
+    return t.spark.read.parquet(path).withColumn("n_left", is_left)
+
+
+def load_counts(t: Tables) -> DataFrame:
+    """What became of arrivals that come as CSV text, as the load itself counts it."""
+    path = scratch_path(t.spark, "arrivals_text")
+    fixtures.raw_arrivals(t).write.csv(path, header=True)
+    raw = readers.read_arrivals(t.spark, path, "csv", as_text=True)
+    counts = publish.publish_month(t.spark, new_warehouse(t.spark), raw, lookups(t))
+    return t.spark.createDataFrame(counts.lines(), "what string, n long")
+
+
+def arrivals_layouts(t: Tables) -> DataFrame:
+    """Columns that files of a folder lack, and how many records are in such files."""
+    path = scratch_path(t.spark, "arrivals_layouts")
+    raw = fixtures.raw_arrivals(t)
+    raw.filter("i94mon <= 6").write.parquet(path)
+    raw.filter("i94mon > 6").drop("gender", "i94visa").write.mode("append").parquet(path)
+    try:
+        readers.read_arrivals(t.spark, path)
+    except ValueError as refused:
+        if "['i94visa', 'gender']" not in str(refused):
+            raise
+        wanted = F.array(*(F.lit(name) for name, _, _ in schemas.ARRIVAL_COLUMNS))
+        lacks = F.array_join(F.array_except(wanted, "columns"), ",")
+        return readers.parquet_layouts(t.spark, path).select(lacks.alias("lacks"), "rows")
+    raise AssertionError("a folder with incomplete files was read")
+
+
+def dq_offending_keys(t: Tables) -> DataFrame:
+    """The first keys that are not unique, as the report names them."""
+    report = quality.table_report(t.lineitem, LINEITEM, ("row_count", "unique_key"), sample=5)
+    return report.withColumn("keys", F.array_join("keys", ";"))
+
+
+def dq_offending_dates(t: Tables) -> DataFrame:
+    """Missing required values and the keys of their rows, in a batch without the defaults."""
+    typed = clean.type_arrivals(fixtures.raw_arrivals(t)).select(
+        F.col("admnum").alias("admission_id"),
+        dates.day_number_to_date(F.col("arrdate")).alias("arrival_date"),
+    )
+    table = schemas.Table(
+        "arrivals", tuple(schemas.Column(name, "", True) for name in schemas.VISIT_KEY), schemas.VISIT_KEY
+    )
+    report = quality.table_report(typed, table, ("unique_key", "required"), sample=3)
+    return report.withColumn("keys", F.array_join("keys", ";"))
+
+
+def published_less(t: Tables) -> DataFrame:
+    """Dates left in the dimension after each month was replaced by its first half."""
+    db = _published(t)
+    batch = publish.stage_visits(t.spark, db, _visits(t).filter("day(arrival_date) <= 15"))
+    publish.publish_batch(t.spark, db, batch)
+    return t.spark.table(f"{db}.arrival_date")
+
+
+def published_key_index(t: Tables) -> DataFrame:
+    """The key index after a replace and an append, month by month."""
+    db = new_warehouse(t.spark)
+    visits = _visits(t)
+    for days, mode in (("> 15", "replace"), ("<= 15", "replace"), ("> 15", "append")):
+        part = visits.filter(f"day(arrival_date) {days}")
+        publish.publish_batch(t.spark, db, publish.stage_visits(t.spark, db, part), mode)
+    return t.spark.table(f"{db}.{schemas.VISIT_KEYS.name}")
+
+
+def staged_together(t: Tables) -> DataFrame:
+    """Two batches in the stage at once; each publishes its own rows."""
+    db = new_warehouse(t.spark)
+    visits = _visits(t)
+    halves = {"even": "year_month % 2 = 0", "odd": "year_month % 2 = 1"}
+    staged = [publish.stage_visits(t.spark, db, visits.filter(f), name=n) for n, f in halves.items()]
+    for batch in staged:
+        publish.publish_batch(t.spark, db, batch)
+    publish.release(t.spark, db, "odd")
+    if publish.staged_names(t.spark, db) != ["even"]:
+        raise AssertionError("a released batch is still staged")
+    return t.spark.table(f"{db}.visitor_analysis").select(*schemas.VISITOR_ANALYSIS.names)
 
 
 def published_dates(t: Tables) -> DataFrame:
@@ -355,6 +444,9 @@ def _refreshed_demographics(t: Tables, table: schemas.Table) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "arrivals_typed_distinct": arrivals_typed_distinct,
+    "arrivals_distinct_by_digest": lambda t: clean.distinct_rows_by_digest(
+        clean.type_arrivals(fixtures.raw_arrivals(t))
+    ),
     "arrivals_with_id": arrivals_with_id,
     "arrivals_filled": _cleaned,
     "decode_port": decode_port,
@@ -387,6 +479,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "rejected_values": lambda t: quality.rejected_report(fixtures.raw_arrivals(t)),
     "dq_key_surplus": lambda t: quality.surplus_rows(t.lineitem, LINEITEM.key),
     "dq_duplicate_keys": lambda t: quality.duplicate_keys(t.lineitem, LINEITEM.key),
+    "dq_offending_keys": dq_offending_keys,
+    "dq_offending_dates": dq_offending_dates,
+    "load_counts": load_counts,
+    "arrivals_layouts": arrivals_layouts,
     "gate_blocks_duplicates": gate_blocks_duplicates,
     "lookup_csv_roundtrip": lookup_csv_roundtrip,
     "arrivals_csv_roundtrip": arrivals_csv_roundtrip,
@@ -397,6 +493,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "publish_month_append": publish_month_append,
     "publish_across_months": publish_across_months,
     "published_dates": published_dates,
+    "published_less": published_less,
+    "published_key_index": published_key_index,
+    "staged_together": staged_together,
     "published_top_ports": lambda t: over_published(t, reports.top_ports, "visitor_analysis"),
     "published_month_gender": lambda t: over_published(
         t, reports.visits_by_month_gender, "visitor_analysis", "visitors", "arrival_date"

@@ -23,12 +23,21 @@ def year_month_text(year: Column, month: Column) -> Column:
     return F.concat(year.cast("string"), month.cast("string"))
 
 
+#: The calendar parts of a date, weekday 1 being Sunday and weeks those of ISO.
+CALENDAR = {
+    "year": "year",
+    "month": "month",
+    "day": "day",
+    "weekday": "dayofweek",
+    "weeknum": "weekofyear",
+}
+
+
 def calendar_parts(date: Column) -> list[Column]:
     """Year, month, day, weekday (1 = Sunday) and ISO week of a date."""
-    return [
-        F.year(date).alias("year"),
-        F.month(date).alias("month"),
-        F.dayofmonth(date).alias("day"),
-        F.dayofweek(date).alias("weekday"),
-        F.weekofyear(date).alias("weeknum"),
-    ]
+    return [F.call_function(name, date).alias(part) for part, name in CALENDAR.items()]
+
+
+def month_of(date: Column) -> Column:
+    """The month of a date as a number, YYYYMM."""
+    return F.year(date) * 100 + F.month(date)

@@ -2,6 +2,7 @@
 
     create        make the tables, dropping those of before with --drop
     arrivals      one month's file to the final tables
+    rebuild       key index and counts of dates from the final tables
     demographics  a directory of nested JSON to the final tables
     load-json     three directories of JSON lines to the final tables
     load-demographics-json  two directories of JSON lines to the final tables
@@ -40,11 +41,28 @@ def create(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def arrivals(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = readers.read_arrivals(spark, args.file, args.format)
+    raw = readers.read_arrivals(spark, args.file, args.format, as_text=args.format == "csv")
     lookups = read_lookups(spark, args.ports, args.destinations, args.origins)
-    publish.publish_month(spark, args.db, raw, lookups, args.mode, not args.several_months)
+    counts = publish.publish_month(
+        spark,
+        args.db,
+        raw,
+        lookups,
+        args.mode,
+        not args.several_months,
+        args.max_rejected,
+        args.batch,
+    )
+    for what, n in counts.lines():
+        print(f"{what}: {n}")
     if args.json_out:
-        publish.export_json(publish.staged_batch(spark, args.db), args.json_out)
+        publish.export_json(publish.staged_batch(spark, args.db, args.batch), args.json_out)
+    if args.release:
+        publish.release(spark, args.db, args.batch)
+
+
+def rebuild(spark: SparkSession, args: argparse.Namespace) -> None:
+    publish.rebuild_kept(spark, args.db)
 
 
 def demographics(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -105,9 +123,15 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--origins", required=True)
     job.add_argument("--mode", default="replace", choices=("replace", "append"))
     job.add_argument("--several-months", action="store_true")
+    job.add_argument("--max-rejected", type=int, help="refuse a file with more in a column")
+    job.add_argument("--batch", default=publish.DEFAULT_BATCH, help="name in the stage")
+    job.add_argument("--release", action="store_true", help="empty the stage afterwards")
     job.add_argument("--json-out")
     job.set_defaults(run=arrivals)
 
+    job = jobs.add_parser("rebuild")
+    job.set_defaults(run=rebuild)
+
     job = jobs.add_parser("demographics")
     job.add_argument("directory")
     job.add_argument("--json-out")

@@ -321,8 +321,60 @@ OVER_STAR |= {
     "published_top_ports_population": OVER_STAR["top_ports_population"],
     "published_visits_by_visa": OVER_STAR["visits_by_visa"],
     "published_top_origins": OVER_STAR["top_origins"],
-    # Five final and three staged tables, and a view of each of the three arrival tables.
-    "tables_dropped": "SELECT CAST(11 AS BIGINT) AS n_made, CAST(0 AS BIGINT) AS n_left",
+    "tables_dropped": """
+        SELECT table_name, CAST(n_rows AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_left FROM (
+            SELECT 'visitor_analysis' AS table_name, count(*) AS n_rows FROM visitor_analysis
+            UNION ALL SELECT 'visitors', count(*) FROM visitors
+            UNION ALL SELECT 'arrival_date', count(*) FROM arrival_date
+            UNION ALL SELECT 'state_demographics', count(*) FROM state_demographics
+            UNION ALL SELECT 'state_demographics_by_race', count(*) FROM state_demographics_by_race
+            UNION ALL SELECT 'visit_keys', count(*) FROM visits
+            UNION ALL SELECT 'date_visits', count(DISTINCT (arrival_date, year_month)) FROM visits)""",
+    "arrivals_distinct_by_digest": OVER_STAR["arrivals_typed_distinct"],
+    "load_counts": """
+        SELECT what, CAST(n AS BIGINT) AS n FROM (
+            SELECT 'read' AS what, count(*) AS n FROM raw
+            UNION ALL SELECT 'without_id', count(*) FROM raw WHERE admnum IS NULL
+            UNION ALL SELECT 'copies', (SELECT count(admnum) FROM raw) - count(*) FROM visits
+            UNION ALL SELECT 'staged', count(*) FROM visits
+            UNION ALL SELECT 'rejected i94bir', count(*) FROM raw WHERE isnan(i94bir)
+            UNION ALL SELECT 'rejected biryear', count(*) FROM raw WHERE biryear = 1e12
+            UNION ALL SELECT 'rejected ' || unnest(['admnum', 'i94yr', 'i94mon', 'i94cit', 'arrdate',
+                'depdate', 'i94mode', 'i94visa']), 0)""",
+    "arrivals_layouts": """
+        SELECT CASE WHEN i94mon <= 6 THEN '' ELSE 'i94visa,gender' END AS lacks,
+               CAST(count(*) AS BIGINT) AS rows
+        FROM raw GROUP BY ALL""",
+    "dq_offending_dates": """
+        , arrivals AS (
+            SELECT CAST(trunc(admnum) AS BIGINT) AS admission_id,
+                   DATE '1960-01-01' + CAST(trunc(arrdate) AS INTEGER) AS arrival_date FROM raw
+        ), per_key AS (
+            SELECT *, count(*) AS copies FROM arrivals GROUP BY ALL
+        ), bad AS (
+            SELECT 'unique_key' AS check_name, 'admission_id,arrival_date' AS subject, copies - 1 AS n, *
+            FROM per_key WHERE copies > 1
+            UNION ALL SELECT 'required', 'admission_id', copies, * FROM per_key WHERE admission_id IS NULL
+            UNION ALL SELECT 'required', 'arrival_date', copies, * FROM per_key WHERE arrival_date IS NULL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY check_name, subject
+                ORDER BY admission_id NULLS FIRST, arrival_date NULLS FIRST) AS rank FROM bad
+        )
+        SELECT check_name, 'arrivals' AS table_name, subject, CAST(sum(n) AS BIGINT) AS value,
+               false AS passed,
+               string_agg(coalesce(CAST(admission_id AS VARCHAR), 'null') || ','
+                   || coalesce(CAST(arrival_date AS VARCHAR), 'null'), ';' ORDER BY rank)
+                   FILTER (WHERE rank <= 3) AS keys
+        FROM ranked GROUP BY check_name, subject""",
+    "published_less": """SELECT * FROM arrival_date
+                         WHERE arrival_date IN (SELECT arrival_date FROM visits
+                                                WHERE day(arrival_date) <= 15)""",
+    "published_key_index": """
+        SELECT admission_id, arrival_date, true AS in_visitor_analysis, true AS in_visitors,
+               year_month, CAST(year(arrival_date) * 100 + month(arrival_date) AS INTEGER)
+                   AS arrival_month
+        FROM visits""",
+    "staged_together": FACT,
     "demographics_from_json": OVER_STAR["demographics_total"],
     "demographics_race_from_json": OVER_STAR["demographics_race"],
 }
@@ -333,6 +385,21 @@ ON_LINEITEM = {
                                 AS BIGINT) AS surplus FROM lineitem""",
     "dq_duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
                             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "dq_offending_keys": """
+        WITH per_key AS (
+            SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL
+        ), first AS (
+            SELECT * FROM per_key WHERE copies > 1 ORDER BY l_orderkey, l_linenumber LIMIT 5
+        )
+        SELECT 'row_count' AS check_name, 'lineitem' AS table_name, '' AS subject,
+               CAST(sum(copies) AS BIGINT) AS value, sum(copies) > 0 AS passed, '' AS keys
+        FROM per_key
+        UNION ALL
+        SELECT 'unique_key', 'lineitem', 'l_orderkey,l_linenumber',
+               CAST(sum(copies - 1) AS BIGINT), sum(copies - 1) = 0,
+               (SELECT string_agg(l_orderkey || ',' || l_linenumber, ';'
+                                  ORDER BY l_orderkey, l_linenumber) FROM first)
+        FROM per_key""",
     "gate_blocks_duplicates": """
         SELECT 'unique_key' AS check_name, 'lineitem' AS table_name,
                'l_orderkey,l_linenumber' AS subject,

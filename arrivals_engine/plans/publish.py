@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
+from arrivals_engine.functions.dates import month_of
 from arrivals_engine.operators.decode import Lookups
 from arrivals_engine.operators.quality import (
     ALL_CHECKS,
     PUBLISH_CHECKS,
-    batch_report,
+    LoadCounts,
+    LoadWatch,
+    QualityError,
     collision_report,
     gate,
-    rejected_report,
+    gate_batch,
+    limit_rejected,
     union_all,
 )
 from arrivals_engine.plans import star
@@ -22,6 +28,9 @@ from arrivals_engine.sources import tables
 from arrivals_engine.sources.readers import read_typed_json
 
 
+DEFAULT_BATCH = "load"
+
+
 @dataclass(frozen=True)
 class Batch:
     """The three arrival tables of one load. same_keys: fact and visitors are views of the
@@ -40,28 +49,54 @@ class Batch:
         ]
 
 
-def staged_batch(spark: SparkSession, db: str) -> Batch:
-    return Batch(*(spark.table(f"{db}.{view}") for view in schemas.STAGE_VIEWS), same_keys=True)
+def _batch_name(name: str) -> str:
+    """Batch names are part of paths."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", name):
+        raise ValueError(f"a batch name is letters, digits, '_', '.' and '-', not {name!r}")
+    return name
+
+
+def staged_batch(spark: SparkSession, db: str, name: str = DEFAULT_BATCH) -> Batch:
+    staged = spark.table(f"{db}.{schemas.STAGE_VISITS.name}")
+    return batch_of(staged.filter(F.col("batch") == _batch_name(name)))
 
 
 def stage_visits(
-    spark: SparkSession, db: str, visits: DataFrame, single_month: bool = False
+    spark: SparkSession,
+    db: str,
+    visits: DataFrame,
+    single_month: bool = False,
+    name: str = DEFAULT_BATCH,
 ) -> Batch:
-    """Writes the batch once, replacing the one staged before; fact, visitors and
-    dates are then read from it instead of being worked out three times.
+    """Writes the batch once, replacing the one staged before under its name; fact, visitors
+    and dates are then read from it instead of being worked out three times. Batches of other
+    names stay, and may be staged at the same time.
 
     Rows are rebalanced by month, which splits a large month into files of even
     size and keeps small months from being scattered over many. A file with a
     single month needs no such shuffle.
     """
     if not single_month:
-        visits = visits.hint("rebalance", schemas.STAGE_VISITS.partition)
-    tables.replace_rows(spark, visits, f"{db}.{schemas.STAGE_VISITS.name}")
-    return staged_batch(spark, db)
+        visits = visits.hint("rebalance", "year_month")
+    release(spark, db, name)
+    rows = visits.withColumn("batch", F.lit(_batch_name(name)))
+    # Files of a dynamic overwrite are prepared in a folder of their own.
+    tables.replace_partitions(spark, rows, f"{db}.{schemas.STAGE_VISITS.name}")
+    return staged_batch(spark, db, name)
+
+
+def release(spark: SparkSession, db: str, name: str = DEFAULT_BATCH) -> None:
+    """Takes a staged batch out of the stage."""
+    tables.drop_partitions(spark, f"{db}.{schemas.STAGE_VISITS.name}", batch=[_batch_name(name)])
+
+
+def staged_names(spark: SparkSession, db: str) -> list[str]:
+    shown = spark.sql(f"SHOW PARTITIONS {db}.{schemas.STAGE_VISITS.name}").collect()
+    return sorted(row[0].split("=", 1)[1] for row in shown)
 
 
 def batch_of(visits: DataFrame) -> Batch:
-    """The three tables of visits that are not staged."""
+    """The three tables of visits."""
     return Batch(
         star.visit_fact(visits), star.visitor_dim(visits), star.arrival_date_dim(visits), True
     )
@@ -87,6 +122,93 @@ def json_batch(
     )
 
 
+def _months(batch: Batch) -> list[int]:
+    """The months of a batch, each a partition of the published tables."""
+    return [row[0] for row in batch.fact.select("year_month").distinct().collect()]
+
+
+def _gate_months(batch: Batch) -> None:
+    """Fact and visitors must hold the same months, as a month is replaced in both."""
+    held = batch.fact.select("year_month").distinct()
+    other = batch.visitors.select("year_month").distinct()
+    odd = held.exceptAll(other).unionByName(other.exceptAll(held)).collect()
+    if odd:
+        raise QualityError(f"fact and visitors differ in months: {sorted(r[0] for r in odd)}")
+
+
+def _gate_new_keys(spark: SparkSession, db: str, batch: Batch, mode: str) -> None:
+    index = spark.table(f"{db}.{schemas.VISIT_KEYS.name}")
+    keyed = [(rows, table) for rows, table in batch.tables() if table.key == schemas.VISIT_KEY]
+
+    def report(sample: int) -> DataFrame:
+        return union_all(
+            [
+                collision_report(rows, index, table, mode == "replace", sample)
+                for rows, table in (keyed[:1] if batch.same_keys else keyed)
+            ]
+        )
+
+    if not report(0).filter(~F.col("passed")).isEmpty():
+        gate(report(5))
+
+
+def _keys(batch: Batch) -> DataFrame:
+    """The rows of the key index for a batch."""
+
+    def of(rows: DataFrame, in_fact: bool, in_visitors: bool) -> DataFrame:
+        return rows.select(
+            *schemas.VISIT_KEY,
+            F.lit(in_fact).alias(f"in_{schemas.VISITOR_ANALYSIS.name}"),
+            F.lit(in_visitors).alias(f"in_{schemas.VISITORS.name}"),
+            "year_month",
+            month_of(F.col("arrival_date")).alias("arrival_month"),
+        )
+
+    if batch.same_keys:
+        return of(batch.fact, True, True)
+    both = of(batch.fact, True, False).unionByName(of(batch.visitors, False, True))
+    flags = [c for c in both.columns if c.startswith("in_")]
+    return both.groupBy(*(c for c in both.columns if c not in flags)).agg(
+        *(F.bool_or(c).alias(c) for c in flags)
+    )
+
+
+def _put(spark: SparkSession, db: str, rows: DataFrame, table: schemas.Table, mode: str) -> None:
+    buckets = tables.bucket_count(spark, db, table)
+    if buckets:
+        # One task per bucket; the key is unique by now, so the buckets are even.
+        rows = rows.repartition(buckets, *table.key)
+    put = tables.replace_partitions if mode == "replace" else tables.append_rows
+    put(spark, rows, f"{db}.{table.name}")
+
+
+def _put_keys(spark: SparkSession, db: str, batch: Batch, mode: str, months: list[int]) -> None:
+    """New keys are there before those they take the place of go: a publish that is broken off
+    leaves too many keys, not too few."""
+    keys = _keys(batch)
+    _put(spark, db, keys, schemas.VISIT_KEYS, mode)
+    if mode == "replace":
+        name = f"{db}.{schemas.VISIT_KEYS.name}"
+        now = keys.select("year_month", "arrival_month").distinct().collect()
+        held = {month: set() for month in months}
+        for row in now:
+            held[row["year_month"]].add(row["arrival_month"])
+        shown = spark.table(name).filter(F.col("year_month").isin(months))
+        for row in shown.select("year_month", "arrival_month").distinct().collect():
+            if row["arrival_month"] not in held[row["year_month"]]:
+                tables.drop_partitions(
+                    spark, name, year_month=[row["year_month"]], arrival_month=[row["arrival_month"]]
+                )
+
+
+def _drop_dates_without_visits(spark: SparkSession, db: str) -> None:
+    name = f"{db}.{schemas.ARRIVAL_DATE.name}"
+    dates = spark.table(name)
+    visited = spark.table(f"{db}.{schemas.DATE_VISITS.name}").select("arrival_date").distinct()
+    if not dates.join(visited, "arrival_date", "left_anti").isEmpty():
+        tables.replace_whole(spark, {name: dates.join(visited, "arrival_date", "left_semi")})
+
+
 def publish_batch(
     spark: SparkSession,
     db: str,
@@ -99,37 +221,45 @@ def publish_batch(
     'replace' swaps the year_month partitions of the batch, so publishing a month
     again changes nothing; the batch must then hold those months completely, and keys
     published under other months are refused. 'append' adds to its months and refuses
-    all keys that are already there. The fact goes last, so that it never points to a
-    missing visitor or date. A date that no visit has any more stays in its table.
+    all keys that are already there. Published rows are not read for that, only the index
+    of their keys. The fact goes last, so that it never points to a missing visitor or date;
+    then dates that no visit has any more leave the dimension.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode is 'replace' or 'append', not {mode!r}")
-    report = batch_report(batch.tables(), checks)
-    gate(report)
-    keyed = [(rows, table) for rows, table in batch.tables() if table.key == schemas.VISIT_KEY]
-    gate(
-        union_all(
-            [
-                collision_report(
-                    rows, spark.table(f"{db}.{table.name}"), table, other_months=mode == "replace"
-                )
-                for rows, table in (keyed[:1] if batch.same_keys else keyed)
-            ]
-        )
-    )
+    gate_batch(batch.tables(), checks)
+    if not batch.same_keys:
+        _gate_months(batch)
+    _gate_new_keys(spark, db, batch, mode)
 
     dates_name = f"{db}.{schemas.ARRIVAL_DATE.name}"
     known = spark.table(dates_name).select("arrival_date")
     tables.append_rows(
         spark, batch.arrival_date.join(known, "arrival_date", "left_anti"), dates_name
     )
-    for rows, table in ((batch.visitors, schemas.VISITORS), (batch.fact, schemas.VISITOR_ANALYSIS)):
-        buckets = tables.bucket_count(spark, db, table)
-        if buckets:
-            # One task per bucket; the key is unique by now, so the buckets are even.
-            rows = rows.repartition(buckets, *table.key)
-        put = tables.replace_partitions if mode == "replace" else tables.append_rows
-        put(spark, rows, f"{db}.{table.name}")
+    _put_keys(spark, db, batch, mode, _months(batch))
+    _put(spark, db, batch.visitors, schemas.VISITORS, mode)
+    _put(spark, db, batch.fact, schemas.VISITOR_ANALYSIS, mode)
+    visits = batch.fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
+    _put(spark, db, visits, schemas.DATE_VISITS, mode)
+    if mode == "replace":
+        _drop_dates_without_visits(spark, db)
+
+
+def rebuild_kept(spark: SparkSession, db: str) -> None:
+    """The key index and the counts of dates anew from the published tables: for a warehouse of
+    before they were kept, and after an append that was broken off."""
+    fact = spark.table(f"{db}.{schemas.VISITOR_ANALYSIS.name}")
+    batch = Batch(
+        fact, spark.table(f"{db}.{schemas.VISITORS.name}"), spark.table(f"{db}.{schemas.ARRIVAL_DATE.name}")
+    )
+    for table in schemas.KEPT_TABLES:
+        tables.replace_rows(
+            spark, spark.table(f"{db}.{table.name}").limit(0), f"{db}.{table.name}"
+        )
+    _put(spark, db, _keys(batch), schemas.VISIT_KEYS, "append")
+    visits = fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
+    _put(spark, db, visits, schemas.DATE_VISITS, "append")
 
 
 def publish_month(
@@ -140,13 +270,19 @@ def publish_month(
     mode: str = "replace",
     single_month: bool = False,
     max_rejected: int | None = None,
-) -> None:
-    """From one file of arrival records to the final tables. With `max_rejected`, a file with
-    more values than that in a column that its type cannot hold is refused."""
+    name: str = DEFAULT_BATCH,
+) -> LoadCounts:
+    """From one file of arrival records to the final tables, through a staged batch of the given
+    name. Says what became of the records, counted while they were staged. With
+    `max_rejected`, a file with more values than that in a column that its type cannot hold
+    is refused; it stays staged."""
+    watch = LoadWatch()
+    visits = watch.rows(star.build_visits(watch.raw(raw), lookups))
+    batch = stage_visits(spark, db, visits, single_month, name)
     if max_rejected is not None:
-        gate(rejected_report(raw, max_rejected))
-    visits = star.build_visits(raw, lookups)
-    publish_batch(spark, db, stage_visits(spark, db, visits, single_month), mode)
+        limit_rejected(watch, max_rejected)
+    publish_batch(spark, db, batch, mode)
+    return watch.counts()
 
 
 def publish_json(
@@ -173,7 +309,7 @@ def refresh_demographics(
     ):
         tables.replace_rows(spark, rows, f"{db}.{stage.name}")
         staged.append((spark.table(f"{db}.{stage.name}"), table))
-    gate(batch_report(staged, ALL_CHECKS))
+    gate_batch(staged, ALL_CHECKS)
     (staged_totals, _), (staged_races, _) = staged
     tables.replace_whole(
         spark,

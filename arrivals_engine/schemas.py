@@ -38,6 +38,11 @@ class Table:
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
     partition: str | None = None
+    sub_partition: str | None = None
+
+    @property
+    def partitions(self) -> list[str]:
+        return [c for c in (self.partition, self.sub_partition) if c]
 
     @property
     def names(self) -> list[str]:
@@ -179,6 +184,36 @@ STATE_DEMOGRAPHICS_BY_RACE = Table(
     key=("city", "state_code", "race"),
 )
 
+# ---- kept beside the star, so that a publish need not read what is published -------
+
+#: The keys of fact and visitors. A key is looked for among those of its month of arrival only,
+#: and a month that is published again takes the place of its own keys.
+VISIT_KEYS = Table(
+    "visit_keys",
+    (
+        Column("admission_id", "BIGINT", True),
+        Column("arrival_date", "DATE", True),
+        Column("in_visitor_analysis", "BOOLEAN", True),
+        Column("in_visitors", "BOOLEAN", True),
+        Column("year_month", "INT", True),
+        Column("arrival_month", "INT", True),
+    ),
+    key=VISIT_KEY,
+    partition="year_month",
+    sub_partition="arrival_month",
+)
+
+#: How many visits of each month came on each date: a date without any leaves the dimension.
+DATE_VISITS = Table(
+    "date_visits",
+    (
+        Column("arrival_date", "DATE", True),
+        Column("visits", "BIGINT", True),
+        Column("year_month", "INT", True),
+    ),
+    partition="year_month",
+)
+
 # ---- staging: nothing required, so that a bad batch can be inspected -------
 
 
@@ -190,9 +225,12 @@ def _union_columns(*tables: Table) -> tuple[Column, ...]:
     return tuple(seen.values())
 
 
-# One wide table holds the batch; the three staged star tables are views of it.
+# One wide table holds the batches, each under its name; the three staged star tables are
+# views of it.
 STAGE_VISITS = Table(
-    "stage_visits", _union_columns(VISITOR_ANALYSIS, VISITORS), partition="year_month"
+    "stage_visits",
+    (*_union_columns(VISITOR_ANALYSIS, VISITORS), Column("batch", "STRING")),
+    partition="batch",
 )
 
 # Demographic measures are staged as read, so that a value too wide for its
@@ -216,6 +254,7 @@ FINAL_TABLES = (
     STATE_DEMOGRAPHICS,
     STATE_DEMOGRAPHICS_BY_RACE,
 )
+KEPT_TABLES = (VISIT_KEYS, DATE_VISITS)
 STAGE_TABLES = (STAGE_VISITS, STAGE_STATE_DEMOGRAPHICS, STAGE_STATE_DEMOGRAPHICS_BY_RACE)
 STAGE_VIEWS = {
     f"stage_{table.name}": table for table in (VISITOR_ANALYSIS, VISITORS, ARRIVAL_DATE)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
+from arrivals_engine.functions.dates import CALENDAR
 from arrivals_engine.sources.scratch import scratch_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -21,8 +22,8 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 def _create_table(spark: SparkSession, db: str, table: schemas.Table, buckets: int | None) -> None:
     ddl = f"CREATE TABLE {db}.{table.name} ({', '.join(c.ddl for c in table.columns)}) USING parquet"
-    if table.partition:
-        ddl += f" PARTITIONED BY ({table.partition})"
+    if table.partitions:
+        ddl += f" PARTITIONED BY ({', '.join(table.partitions)})"
     if buckets:
         ddl += f" CLUSTERED BY ({', '.join(table.key)}) INTO {buckets} BUCKETS"
     spark.sql(ddl)
@@ -31,10 +32,10 @@ def _create_table(spark: SparkSession, db: str, table: schemas.Table, buckets: i
 def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> None:
     """All tables and staging views, empty.
 
-    With `buckets`, fact and visitors are bucketed by their common key, so that
-    joining them does not shuffle; publishing then shuffles each of them once.
+    With `buckets`, fact, visitors and their key index are bucketed by their common key, so
+    that joining them does not shuffle; publishing then shuffles each of them once.
     """
-    for table in schemas.FINAL_TABLES:
+    for table in schemas.FINAL_TABLES + schemas.KEPT_TABLES:
         bucketed = table.key == schemas.VISIT_KEY
         _create_table(spark, db, table, buckets if bucketed else None)
     for table in schemas.STAGE_TABLES:
@@ -42,13 +43,8 @@ def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> N
     staged = f"{db}.{schemas.STAGE_VISITS.name}"
     for view, table in schemas.STAGE_VIEWS.items():
         if table is schemas.ARRIVAL_DATE:
-            query = f"""SELECT arrival_date,
-                               year(arrival_date) AS year,
-                               month(arrival_date) AS month,
-                               day(arrival_date) AS day,
-                               dayofweek(arrival_date) AS weekday,
-                               weekofyear(arrival_date) AS weeknum
-                        FROM (SELECT DISTINCT arrival_date FROM {staged})"""
+            parts = ", ".join(f"{f}(arrival_date) AS {name}" for name, f in CALENDAR.items())
+            query = f"SELECT arrival_date, {parts} FROM (SELECT DISTINCT arrival_date FROM {staged})"
         else:
             query = f"SELECT {', '.join(table.names)} FROM {staged}"
         spark.sql(f"CREATE VIEW {db}.{view} AS {query}")
@@ -57,7 +53,7 @@ def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> N
 def drop_tables(spark: SparkSession, db: str) -> None:
     for view in schemas.STAGE_VIEWS:
         spark.sql(f"DROP VIEW IF EXISTS {db}.{view}")
-    for table in schemas.STAGE_TABLES + schemas.FINAL_TABLES:
+    for table in schemas.STAGE_TABLES + schemas.FINAL_TABLES + schemas.KEPT_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {db}.{table.name}")
 
 
@@ -103,6 +99,19 @@ def replace_whole(spark: SparkSession, new: dict[str, DataFrame]) -> None:
         spark.catalog.refreshTable(name)
 
 
+def drop_partitions(spark: SparkSession, full_name: str, **values: list) -> None:
+    """The partitions of a table that have one of the values in each of the given columns."""
+    wanted = {name: {str(v) for v in some} for name, some in values.items()}
+    specs = []
+    for row in spark.sql(f"SHOW PARTITIONS {full_name}").collect():
+        spec = dict(part.split("=", 1) for part in row[0].split("/"))
+        if all(spec[name] in some for name, some in wanted.items()):
+            specs.append(", ".join(f"{name}='{value}'" for name, value in spec.items()))
+    if specs:
+        dropped = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {full_name} DROP IF EXISTS {dropped}")
+
+
 def replace_rows(spark: SparkSession, rows: DataFrame, full_name: str) -> None:
     """The whole table anew, for staging: the rows of before go first, so a write that fails
     leaves the table empty."""

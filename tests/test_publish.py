@@ -33,7 +33,7 @@ MARCH = {"i94mon": 3.0, "arrdate": 20520.0}
 
 def test_tables_and_views_are_made_and_dropped(spark, db):
     made = {r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect()}
-    wanted = {t.name for t in schemas.FINAL_TABLES + schemas.STAGE_TABLES} | set(schemas.STAGE_VIEWS)
+    wanted = {t.name for t in schemas.FINAL_TABLES + schemas.KEPT_TABLES + schemas.STAGE_TABLES} | set(schemas.STAGE_VIEWS)
     assert made == wanted
     tables.drop_tables(spark, db)
     tables.drop_tables(spark, db)
