@@ -5,10 +5,11 @@ extends, that has no smaller period and at least ``max(6, 4 q)`` words. Periods
 by octaves ``scale <= q < 2 scale``. For each octave a text has a boundary at every 2 scale
 words, so every run has one among the words that are equal to the word q further on; around
 each boundary stands a tile of 2 scale words before and 4 scale words from it on, so that
-neighbouring tiles overlap. Tiles are dealt out one by one and solved by themselves: Z-functions
-of the words from the boundary on and, backwards, of the words before it give for all periods
-of the octave how far equality reaches to both sides. What reaches the next boundary is a
-fragment; fragments are shuffled by document and period and stitched where they meet.
+neighbouring tiles overlap. Tiles are dealt out, some neighbours together, and each is solved by
+itself: Z-functions of the words from the boundary on and, backwards, of the words before it
+give for all periods of the octave how far equality reaches to both sides. What is long enough,
+or reaches the next boundary, is a fragment; fragments are shuffled by document and period and
+stitched where they meet.
 
 Tiles that cannot touch a run are not sent: at least ``max(5, 3 q)`` words in a row around the
 boundary equal the word q further on, so half as many on one side do, and hashes of some words
@@ -39,10 +40,13 @@ from arrivals_engine.llm.common import partitions
 
 LEAST_WORDS, LEAST_TIMES = 6, 4
 RUNS = "array<struct<start:long,period:long,length:long>>"
-TILE = "key string, scale long, boundary long, first long, words binary"
+TILES = "key string, scale long, first long, bounds array<long>, words binary"
 FRAGMENT = "key string, period long, lo long, hi long"
-#: Words of a tile are sent as numbers, so many bytes at a time.
-BATCH_BYTES = 4 << 20
+#: Tiles that lie together are sent together up to so many words, one tile at least; words are
+#: sent as numbers, so many bytes at a time.
+TOGETHER, BATCH_BYTES = 4096, 4 << 20
+#: Longer rows of numbers are not made objects, which take nine times the memory.
+OBJECTS = 1 << 16
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -82,8 +86,9 @@ def _repeated(grams: np.ndarray, at: np.ndarray, scale: int) -> np.ndarray:
     return found
 
 
-def tiles(ids: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
-    """(scale, boundary, first, words): the tiles that may touch a run."""
+def tiles(ids: np.ndarray) -> Iterator[tuple[int, int, list[int], np.ndarray]]:
+    """(scale, first, bounds, words): the tiles that may touch a run, by their boundaries. first
+    is the place of the first of the words that they cover."""
     n = len(ids)
     fives = _grams(ids, 5)
     if n < LEAST_WORDS or len(np.unique(fives)) == len(fives):
@@ -92,24 +97,29 @@ def tiles(ids: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
     while max(LEAST_WORDS, LEAST_TIMES * scale) <= n:
         size = 3 if scale <= 2 else 6  # at most half of max(5, 3 scale), rounded up
         grams = _grams(ids, size)
-        bounds = np.arange(0, n - scale, 2 * scale)
+        step = 2 * scale
+        bounds = np.arange(0, n - scale, step)
         touched = np.zeros(len(bounds), bool)
         for shift in (0, -size):
             inside = (bounds + shift >= 0) & (bounds + shift < len(grams))
             touched[inside] |= _repeated(grams, bounds[inside] + shift, scale)
-        for bound in bounds[touched].tolist():
-            first = max(0, bound - 2 * scale)
-            yield scale, bound, first, ids[first : bound + 4 * scale]
-        scale *= 2
+        found = np.flatnonzero(touched)
+        most = max(1, TOGETHER // step)
+        # Places where a new group of tiles begins: after a gap, and in front of full blocks.
+        new = np.flatnonzero((np.diff(found) > 1) | (found[1:] // most != found[:-1] // most)) + 1
+        for group in np.split(bounds[found], new) if len(found) else []:
+            first = max(0, int(group[0]) - step)
+            yield scale, first, group.tolist(), ids[first : int(group[-1]) + 2 * step]
+        scale = step
 
 
 def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["key", "scale", "boundary", "first", "words"]
+    columns = ["key", "scale", "first", "bounds", "words"]
     for batch in batches:
         rows, size = [], 0
         for key, text in zip(batch["key"], batch["text"], strict=True):
-            for scale, bound, first, words in tiles(numbered(words_of(text))):
-                rows.append((key, scale, bound, first, words.tobytes()))
+            for scale, first, bounds, words in tiles(numbered(words_of(text))):
+                rows.append((key, scale, first, bounds, words.tobytes()))
                 size += words.nbytes
                 if size > BATCH_BYTES:
                     yield pd.DataFrame(rows, columns=columns)
@@ -117,14 +127,13 @@ def _tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=columns)
 
 
-# ---- solving a tile -------------------------------------------------------
+# ---- solving tiles --------------------------------------------------------
 
 
-def z_function(words: np.ndarray) -> np.ndarray:
+def z_function(s: list[int] | array) -> list[int] | array:
     """For each place how many words from there on are the same as at the beginning."""
-    s = array("i", words.astype(np.int32).tobytes())
     n = len(s)
-    z = array("i", bytes(4 * n))
+    z = [0] * n if n < OBJECTS else array("i", bytes(4 * n))
     left = right = 0
     for i in range(1, n):
         k = min(right - i, z[i - left]) if i < right else 0
@@ -133,10 +142,7 @@ def z_function(words: np.ndarray) -> np.ndarray:
                 k += 1
             left, right = i, i + k
         z[i] = k
-    found = np.frombuffer(z, np.int32).astype(np.int64)
-    if n:
-        found[0] = n
-    return found
+    return z
 
 
 def _prime_divisors(n: int) -> list[int]:
@@ -150,38 +156,55 @@ def _prime_divisors(n: int) -> list[int]:
     return [*found, n] if n > 1 else found
 
 
-def fragments(scale: int, bound: int, first: int, words: np.ndarray) -> list[tuple[int, int, int]]:
-    """(period, lo, hi): around the boundary the words from lo up to hi equal those one period
-    further on. Only those that may be, or be part of, a run with just this period."""
-    before, step = bound - first, 2 * scale
+def fragments(scale: int, before: int, words: list[int] | array) -> list[tuple[int, int, int]]:
+    """(period, back, on): so many words before and from the boundary on equal those one period
+    further on. Only those that may be, or be part of, a run with just this period. The
+    boundary is behind the first ``before`` words of the tile."""
+    step = 2 * scale
     ahead = z_function(words[before:])
     turned = words[: before + step][::-1]
-    gap = np.array([-1], np.int32)
-    back = z_function(np.concatenate([words[:before][::-1], gap, turned]))
-
-    def after(q):
-        return ahead[q]
-
-    def ago(q):
-        return back[1 + len(turned) - q]
-
-    periods = np.arange(scale, min(step, len(ahead)))
-    r, l = np.minimum(after(periods), step), np.minimum(ago(periods), step)  # noqa: E741
-    long = (l + r >= np.maximum(LEAST_WORDS - 1, (LEAST_TIMES - 1) * periods)) | (l == step) | (r == step)
+    start = words[:before][::-1]
+    start.append(-1)  # no word
+    back = z_function(start + turned)
+    # The words before the boundary plus q begin, backwards, so far from the end of back.
+    zero = len(back) - before
     found = []
-    for q, to, back_to in zip(periods[long].tolist(), r[long].tolist(), l[long].tolist(), strict=True):
+    for q in range(scale, min(step, len(words) - before)):
+        ago = back[zero - q] if before else 0
+        if ago < step and ahead[q] < step and ago + ahead[q] < max(LEAST_WORDS - 1, (LEAST_TIMES - 1) * q):
+            continue
+        on, ago = min(ahead[q], step), min(ago, step)
         shorter = (q // prime for prime in _prime_divisors(q))
-        if not any(after(p) >= to + q - p and ago(p) >= back_to for p in shorter):
-            found.append((q, bound - back_to, bound + to))
+        if not any(ahead[p] >= on + q - p and (not ago or back[zero - p] >= ago) for p in shorter):
+            found.append((q, ago, on))
     return found
 
 
+def solve(scale: int, first: int, bounds: list[int], ids: np.ndarray) -> list[tuple[int, int, int]]:
+    """(period, lo, hi) of all fragments of some neighbouring tiles, joined where they meet."""
+    step, found = 2 * scale, []
+    reached: dict[int, list[int]] = {}
+    for bound in bounds:
+        low = max(0, bound - step)
+        tile = ids[low - first : bound + 2 * step - first]
+        words = tile.tolist() if len(tile) < OBJECTS else array("i", tile.astype(np.int32).tobytes())
+        for q, ago, on in fragments(scale, bound - low, words):
+            lo, hi = bound - ago, bound + on
+            if q in reached and lo <= reached[q][1]:
+                reached[q][1] = max(hi, reached[q][1])
+            else:
+                if q in reached:
+                    found.append((q, *reached[q]))
+                reached[q] = [lo, hi]
+    return found + [(q, *r) for q, r in reached.items()]
+
+
 def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for t in batch.itertuples(index=False):
             words = np.frombuffer(t.words, np.int32)
-            rows += [(t.key, *f) for f in fragments(t.scale, t.boundary, t.first, words)]
+            rows += [(t.key, *f) for f in solve(t.scale, t.first, list(t.bounds), words)]
         yield pd.DataFrame(rows, columns=["key", "period", "lo", "hi"])
 
 
@@ -213,8 +236,8 @@ def _keyed(docs: DataFrame) -> Column:
 def runs(docs: DataFrame) -> DataFrame:
     """(key, start, period, length): all runs of all texts of docs (doc_id, text)."""
     texts = docs.select(_keyed(docs).alias("key"), "text")
-    dealt = texts.mapInPandas(_tiles, TILE).repartition(
-        partitions(docs.sparkSession), "key", "scale", "boundary"
+    dealt = texts.mapInPandas(_tiles, TILES).repartition(
+        partitions(docs.sparkSession), "key", "scale", "first"
     )
     return _stitched(dealt.mapInPandas(_solved, FRAGMENT))
 

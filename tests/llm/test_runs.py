@@ -62,7 +62,7 @@ def solved(words):
     ids = runs.numbered([w.encode() for w in words])
     marked = {}
     for tile in runs.tiles(ids):
-        for q, lo, hi in runs.fragments(*tile):
+        for q, lo, hi in runs.solve(*tile):
             marked.setdefault(q, set()).update(range(lo, hi))
     found = []
     for q, places in marked.items():
@@ -91,8 +91,11 @@ def random_words(rng):
     return [rng.choice("abc") for _ in range(rng.randrange(9))] + words
 
 
-def test_tiles_find_all_runs():
-    rng = random.Random(3)
+@pytest.mark.parametrize("together", [4096, 1, 24])
+def test_tiles_find_all_runs(monkeypatch, together):
+    monkeypatch.setattr(runs, "TOGETHER", together)
+    monkeypatch.setattr(runs, "OBJECTS", 1 << 16 if together > 1 else 8)
+    rng = random.Random(together)
     for _ in range(1500):
         words = random_words(rng)
         assert solved(words) == brute_runs(words), words
