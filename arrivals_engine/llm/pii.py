@@ -54,9 +54,12 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _FORM = str.maketrans("0123456789", "#" * 10)
+_EDGES, _FORMS = EDGES.encode(), bytes.maketrans(b"0123456789", b"#" * 10)
 
 #: So many different terms, or mentions, of a task are gathered before they are handed on.
 COUNTED = 200_000
+#: So many terms go to every task.
+MOST_BROADCAST = 1_000_000
 MENTION = ["entity", "term", "context", "first"]
 
 
@@ -137,27 +140,40 @@ def form(term: str) -> str | None:
     return masked if masked != term else None
 
 
-def _all_terms(text: str, spans: list[Span]) -> set[str]:
-    """The different terms of a text, and their forms."""
+def _words(text: str) -> set[bytes]:
+    """The different words of a text as terms are written, those that touch a span among them, in
+    less time: lower() of bytes is that of A-Z, and split() is at WORD's gaps."""
+    return {w.strip(_EDGES) for w in set(text.encode().lower().split())}
+
+
+def _all_terms(text: str, words: set[bytes]) -> set[str]:
+    """The different terms of a text, and their forms. words: those of the text."""
+    spans = base_spans(text)
     if spans:
         found = {t for _, _, t in terms(text, spans)}
-    else:  # the same in less time: lower() of bytes is that of A-Z, split() that at WORD's gaps
-        found = {w.strip(EDGES.encode()).decode() for w in set(text.encode().lower().split())}
-        found.discard("")
+    else:
+        found = {w.decode() for w in words if w}
     return found | {f for f in map(form, found) if f}
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(term, n): in n texts of a batch or several there is the term."""
-    counts: Counter[str] = Counter()
-    for batch in batches:
-        for text in batch["text"]:
-            if text:
-                counts.update(_all_terms(text, base_spans(text)))
-            if len(counts) > COUNTED:
-                yield pd.DataFrame(counts.items(), columns=["term", "n"])
-                counts.clear()
-    yield pd.DataFrame(counts.items(), columns=["term", "n"])
+def _counted(wanted: frozenset[str] | None):
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """(term, n): in n texts of a batch or several there is the term, of all or wanted ones."""
+        counts: Counter[str] = Counter()
+        asked = None if wanted is None else {t.encode() for t in wanted}
+        for batch in batches:
+            for text in batch["text"]:
+                words = _words(text or "")
+                if asked is None:
+                    counts.update(_all_terms(text or "", words))
+                elif not asked.isdisjoint(words) or not asked.isdisjoint({w.translate(_FORMS) for w in words}):
+                    counts.update(_all_terms(text, words) & wanted)
+                if len(counts) > COUNTED:
+                    yield pd.DataFrame(counts.items(), columns=["term", "n"])
+                    counts.clear()
+        yield pd.DataFrame(counts.items(), columns=["term", "n"])
+
+    return of
 
 
 def _mentions(near: int):
@@ -199,9 +215,12 @@ class Limits:
     share: float = 0.5
 
 
-def associations(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def associations(
+    docs: DataFrame, limits: Limits = Limits(), most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
     """(entity, term, together, contexts, n_entity, n_term, n_docs, ic, pmi, disclosing) of all
-    terms and forms that stand near an entity in enough different surroundings."""
+    terms and forms that stand near an entity in enough different surroundings. If these are
+    no more than ``most_broadcast``, texts are searched for them alone, else all terms are counted."""
     texts = docs.select("text")
     seen = texts.mapInPandas(_mentions(limits.near), "entity string, term string, context long, first int")
     apart = seen.groupBy("entity", "term", "context").agg(F.sum("first").alias("together"))
@@ -213,9 +232,13 @@ def associations(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
     entities = near.where("term = ''").select("entity", F.col("together").alias("n_entity"))
     told = near.where((F.col("term") != "") & (F.col("contexts") >= limits.contexts))
-    counted = texts.mapInPandas(_counted, "term string, n long")
-    wanted = counted.join(told.select("term").distinct(), "term", "left_semi")
-    in_all = wanted.groupBy("term").agg(F.sum("n").alias("n_term"))
+    asked = told.select("term").distinct()
+    few = asked.count() <= most_broadcast
+    wanted = frozenset(r["term"] for r in asked.toLocalIterator()) if few else None
+    counted = texts.mapInPandas(_counted(wanted), "term string, n long")
+    if not few:
+        counted = counted.join(asked, "term", "left_semi")
+    in_all = counted.groupBy("term").agg(F.sum("n").alias("n_term"))
     joined = told.join(entities, "entity").join(in_all, "term")
     joined = joined.withColumn("n_docs", F.lit(docs.count()).cast("long"))
     ic = -F.log2(F.col("n_entity") / F.col("n_docs"))
@@ -228,9 +251,11 @@ def associations(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def disclosing_terms(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def disclosing_terms(
+    docs: DataFrame, limits: Limits = Limits(), most_broadcast: int = MOST_BROADCAST
+) -> DataFrame:
     """(term, written): what is written in place of each disclosing term, its form or nothing."""
-    found = associations(docs, limits).where("disclosing").select("entity", "term")
+    found = associations(docs, limits, most_broadcast).where("disclosing").select("entity", "term")
     found = Scratch(docs.sparkSession, "pii").put(found, "disclosing")
     masked = F.translate("term", "0123456789", "#" * 10)
     forms = found.select("entity", F.col("term").alias("form"), F.lit(True).alias("told"))
@@ -258,11 +283,14 @@ FOUND = "spans array<struct<start:long,end:long,kind:string>>, clean string"
 
 def _marked(known: dict[str, str] | None):
     def mark(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        asked = {t.encode() for t in known or ()}
         for texts, written in batches:
             out = []
             for text, own in zip(texts, written, strict=True):
                 spans = base_spans(text)
-                say = known if known is not None else dict(own) if own is not None else {}
+                say = dict(own) if own is not None else {}
+                if known and text and not asked.isdisjoint(_words(text)):
+                    say = known
                 told = [t for t in terms(text, spans) if t[2] in say] if text and say else []
                 every = sorted(
                     [*spans, *((s, e, TERM) for s, e, _ in told)],
@@ -290,7 +318,11 @@ def replaced(text: str | None, puts: list[tuple[int, int, str]]) -> str | None:
 
 
 def sanitised(
-    docs: DataFrame, limits: Limits = Limits(), *, into: str = "found", most_broadcast: int = 1_000_000
+    docs: DataFrame,
+    limits: Limits = Limits(),
+    *,
+    into: str = "found",
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """docs and a struct column ``into``: ``spans`` (start, end, kind) and the ``clean`` text, in
     which patterns are named by their kind and terms are generalised or gone. Up to
@@ -299,7 +331,7 @@ def sanitised(
     if into in docs.columns:
         raise ValueError(f"docs has a column {into!r} already")
     spark = docs.sparkSession
-    say = Scratch(spark, "pii").put(disclosing_terms(docs, limits), "terms")
+    say = Scratch(spark, "pii").put(disclosing_terms(docs, limits, most_broadcast), "terms")
     if say.count() <= most_broadcast:
         known = {r["term"]: r["written"] for r in say.toLocalIterator()}
         mark = F.pandas_udf(_marked(known), FOUND)

@@ -118,10 +118,10 @@ def test_disclosing_terms_and_spans(spark, most):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _pii_key0 string").repartition(5)
     texts = [r[1] for r in rows]
     limits = pii.Limits()
-    got = pii.associations(docs, limits).where("disclosing").select("entity", "term").collect()
+    got = pii.associations(docs, limits, most).where("disclosing").select("entity", "term").collect()
     want = brute_associations(texts, limits)
     assert {tuple(r) for r in got} == want
-    say = {r["term"]: r["written"] for r in pii.disclosing_terms(docs, limits).collect()}
+    say = {r["term"]: r["written"] for r in pii.disclosing_terms(docs, limits, most).collect()}
     assert say["zanzibar"] == "" and say["4711"] == "####" and "quagga" not in say and "room" not in say
     assert set(say) == {t for _, t in want}
 
