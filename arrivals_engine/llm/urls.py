@@ -12,7 +12,7 @@ judged pages of the kind, to 12 digits.
 
 Links are the absolute addresses in a page; a host is also linked, both ways, with the
 host that its name is a direct subdomain of, if that has two labels or more. Links are counted
-per pair of hosts before anything is joined, and ranks are written each few rounds.
+per pair of hosts before anything is shuffled, and ranks are written each few rounds.
 
 Defined results: a url that is null or has no :// has an empty host and path, which no rule
 fits and nothing links to: it is allowed. Null html has no links. Repeated rows each count
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from arrivals_engine.llm.common import Scratch, lower_ascii
 
 
+EDGES_OF_A_TASK = 250_000
+
+
 @dataclass(frozen=True)
 class Rule:
     verdict: str
@@ -77,12 +80,13 @@ def rule_that_fits(rules: list[Rule]) -> Column:
 def host_links(pages: DataFrame) -> DataFrame:
     """(a, b, weight): the share of a's links that go to b."""
     address = r"""(?i)\b(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
-    out = pages.groupBy("host", "html").count().select(
+    # Links are taken out of each page where it is, and pages with equal links meet as counts.
+    out = pages.select(
         F.col("host").alias("a"),
-        F.explode_outer(F.regexp_extract_all("html", F.lit(address), F.lit(1))).alias("b"),
-        F.col("count").alias("n"),
+        F.explode(F.regexp_extract_all("html", F.lit(address), F.lit(1))).alias("b"),
     )
-    out = out.select("a", lower_ascii(F.col("b")).alias("b"), "n").where(F.col("b").isNotNull())
+    out = out.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    out = out.select("a", lower_ascii(F.col("b")).alias("b"), "n")
     names = pages.select("host").distinct()
     parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
     up = names.select(F.col("host").alias("a"), parent.alias("b"), F.lit(1).cast("long").alias("n"))
@@ -113,8 +117,12 @@ def spread(
     """(kind, host, rank) after so many rounds, and settled: PageRank that restarts at the seeds
     (kind, host, rank), trust along the links and distrust against them."""
     turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
-    edges = scratch.put(_shares(links, "trust").unionByName(_shares(turned, "distrust")), "edges")
-    start = scratch.put(seeds, "ranks_0")
+    edges = scratch.put(_shares(links, "trust").unionByName(_shares(turned, "distrust")), "all_edges")
+    # So many tasks as there are edges for: rounds are many, and a host graph is small.
+    tasks = 1 + edges.count() // EDGES_OF_A_TASK
+    edges = scratch.put(edges.coalesce(tasks), "edges")
+    scratch.drop("all_edges")
+    start = scratch.put(seeds.coalesce(tasks), "ranks_0")
     again = start.withColumn("rank", F.col("rank") * (1 - damping))
     ranks, early, before, k, written = start, start, start, 0, 0
     while True:
@@ -123,6 +131,7 @@ def spread(
             "kind", F.col("b").alias("host"), (F.col("weight") * F.col("rank") * damping).alias("rank")
         )
         ranks = moved.unionByName(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = ranks.coalesce(tasks)
         if k % write_each == 0 or k == rounds:
             ranks = scratch.put(ranks, f"ranks_{k}")
             early = ranks if k == rounds else early
