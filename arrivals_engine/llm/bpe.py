@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arrivals_engine.llm.common import then_release
+
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Fixed value: the pattern of this vocabulary that splits a text into words.
 PATTERN = (
@@ -198,6 +200,7 @@ def _safe_place(text: str, at: int) -> bool:
 
 def _digest_udf(vocabulary: str, ranks: str | None):
     @F.pandas_udf(DIGEST)
+    @then_release
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(vocabulary, ranks)
         for texts in batches:
@@ -213,17 +216,20 @@ def _long_ids(docs: DataFrame, vocabulary: str, ranks: str | None, piece_chars:
     """(key, ids) of each different text of docs, piece by piece and joined."""
 
     @F.pandas_udf("array<string>")
+    @then_release
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(vocabulary, ranks)
         for texts in batches:
             yield pd.Series([codec.pieces(t, piece_chars) for t in texts])
 
     @F.pandas_udf("array<int>")
+    @then_release
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(vocabulary, ranks)
         for texts in batches:
             yield pd.Series([np.array(codec.encode(t), np.int32) for t in texts])
 
+    @then_release
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(vocabulary, ranks)
         for key, parts in _by_key(batches):
@@ -259,6 +265,7 @@ def encoded(
     """(doc_id, ids array<int>), a row for each row of docs."""
 
     @F.pandas_udf("array<int>")
+    @then_release
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(vocabulary, ranks)
         for texts in batches:
@@ -273,6 +280,7 @@ def decoded(rows: DataFrame, vocabulary: str, ranks: str | None = None) -> DataF
     """(doc_id, text) of rows (doc_id, ids); null ids are no tokens."""
 
     @F.pandas_udf("string")
+    @then_release
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(vocabulary, ranks)
         for ids in batches:
@@ -294,6 +302,7 @@ def token_digests(
     """Per row of docs the number and digest of its ids and the digest of their decoding."""
 
     @F.pandas_udf(DIGEST)
+    @then_release
     def of_ids(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(vocabulary, ranks)
         for lists in batches:

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +65,24 @@ def with_small_batches(spark: SparkSession, size: str = "16m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def then_release(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """The same function of batches, which gives memory back when a task is done. Python workers
+    live on from task to task and stage to stage, and what one has freed but kept counts
+    against the executor when the next stage's workers and the JVM need it."""
+
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

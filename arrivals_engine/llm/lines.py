@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import UPPER, lower_ascii, partitions, row_identity, strip_space
+from arrivals_engine.llm.common import UPPER, lower_ascii, partitions, row_identity, strip_space, then_release
 from arrivals_engine.sources.scratch import scratch_path
 
 KEPT = "text string, n_lines long, n_dropped long"
@@ -113,6 +113,7 @@ class LineRuns:
         return self._all_frequent()
 
 
+@then_release
 def _without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for texts, drops in batches:
         out = []

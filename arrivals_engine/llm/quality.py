@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import WORD
+from arrivals_engine.llm.common import WORD, then_release
 
 RULES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -198,10 +198,11 @@ def fit(
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(asked), "doc_id")  # fit_rows rows at most
-        .select("doc_id", "good", _counts_udf()("text").alias("c"))
-        .dropDuplicates(["doc_id"])
+        .select("doc_id", "good", F.md5("text").alias("digest"), _counts_udf()("text").alias("c"))
+        .groupBy("doc_id")  # of repeated rows always the same one
+        .agg(F.min_by(F.struct("good", "c"), F.coalesce("digest", F.lit(""))).alias("row"))
         .orderBy("doc_id")
-        .select("good", "c.*")
+        .select("row.good", "row.c.*")
         .limit(fit_rows)
         .toPandas()
     )
@@ -223,6 +224,7 @@ def _counts_frame(texts: pd.Series) -> pd.DataFrame:
 
 def _counts_udf():
     @F.pandas_udf(RULES)
+    @then_release
     def counts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield _counts_frame(batch)
@@ -234,6 +236,7 @@ def with_verdict(docs: DataFrame, forest: Forest, into: str = "quality") -> Data
     """docs and one struct column ``into`` of ``VERDICT``."""
 
     @F.pandas_udf(VERDICT)
+    @then_release
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             frame = _counts_frame(batch)

@@ -38,10 +38,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import UPPER, Scratch
+from arrivals_engine.llm.common import UPPER, WORD, Scratch, then_release
 from arrivals_engine.llm.components import smallest_reachable
 
 SHINGLE = 5
@@ -170,14 +170,18 @@ SETS = (
 )
 
 
+def _rep(docs: DataFrame) -> Column:
+    """The name of a document, also where it has no id."""
+    doc_id = docs["doc_id"].cast("long")
+    return F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(docs["text"], F.lit(""))))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
-    """rep names a document also where it has no id."""
-    doc_id = F.col("doc_id").cast("long")
-    rep = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    return docs.select(doc_id.alias("doc_id"), rep.alias("rep"), "text")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), _rep(docs).alias("rep"), "text")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
+    @then_release
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for rows in batches:
@@ -197,6 +201,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, tokens) of wanted classes (node, sig, rep), made again from the text of rep."""
 
+    @then_release
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for rows in batches:
@@ -215,6 +220,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, chunk: int) -> DataFrame:
     """Those of pairs (a, b) that are linked."""
 
+    @then_release
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, mine, others in _groups(batches, chunk):
             tree = RadixTree()
@@ -285,6 +291,11 @@ def components(
     docs: DataFrame, *, hot: int = 32, chunk: int = 64, block: int = 256
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of docs."""
+    return _members(docs, hot, chunk, block).select("doc_id", "n_shingles", "component_id")
+
+
+def _members(docs: DataFrame, hot: int, chunk: int, block: int) -> DataFrame:
+    """The same with rep, and part, which is the same number for all of a component."""
     scratch = Scratch(docs.sparkSession, "shingles")
     made = scratch.put(_sets(docs), "sets")
     each = scratch.put(made.select("doc_id", "rep", "n", "sig"), "docs")
@@ -443,6 +454,7 @@ def _blocks(
 def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the linked pairs (a, b) in each pair of blocks as many as join its components."""
 
+    @then_release
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members in _by_blocks(batches):
             tree, parts, found = RadixTree(), {}, []
@@ -509,17 +521,38 @@ def _named(each: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
         "sig", "smallest_id", F.coalesce("smallest", "node").alias("part")
     )
     ids = parts.groupBy("part").agg(F.min("smallest_id").alias("component_id"))
-    by_sig = parts.join(ids, "part").select("sig", "component_id")
+    by_sig = parts.join(ids, "part").select("sig", "component_id", "part")
     return each.join(by_sig, "sig", "left").select(
         "doc_id",
+        "rep",
+        "part",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """docs with one document of each component, that with the smallest id. Of repeated rows
-    with that id all stay; documents without id go if they are linked with one that has an id."""
-    drop = components(docs, **how).where(F.col("doc_id") != F.col("component_id"))
-    ids = drop.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["_gone"], "left_anti")
+def keep_one(
+    docs: DataFrame, *, hot: int = 32, chunk: int = 64, block: int = 256
+) -> DataFrame:
+    """docs with one document of each component: that with the smallest id, of which all repeated
+    rows stay; where none has an id, one row of the text with the smallest digest. Texts
+    without words stay."""
+    rows = _members(docs, hot, chunk, block).where(F.col("n_shingles") > 0)
+    with_id = F.col("doc_id").isNotNull()
+    first = rows.groupBy("part").agg(F.min(F.when(~with_id, F.col("rep"))).alias("first"))
+    others = rows.where(~with_id).join(first, "part")
+    gone = (
+        rows.where(with_id & (F.col("doc_id") != F.col("component_id")))
+        .select("rep")
+        .unionByName(
+            others.where(
+                F.col("component_id").isNotNull() | (F.col("rep") != F.col("first"))
+            ).select("rep")
+        )
+    )
+    gone = gone.select(F.col("rep").alias("_gone")).distinct()
+    kept = docs.join(gone, _rep(docs) == gone["_gone"], "left_anti")
+    if docs.where(docs["doc_id"].isNull()).isEmpty():
+        return kept
+    nameless = docs["doc_id"].isNull() & F.coalesce(docs["text"].rlike(WORD), F.lit(False))
+    return kept.where(~nameless).unionByName(kept.where(nameless).dropDuplicates(["text"]))

@@ -125,6 +125,19 @@ def test_keep_one_and_empty_table(spark):
     assert shingles.components(docs.limit(0)).collect() == []
 
 
+def test_keep_one_of_documents_without_id(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(5, near), (2, near), (None, near), (None, near + " 1"), (None, near)]
+    other = " ".join(reversed(near.split()))
+    rows += [(None, f"{other} 2".upper()), (None, other), (None, other)]
+    rows += [(None, "alone"), (None, None), (None, None), (None, " "), (7, ""), (8, "")]
+    kept = [tuple(r)[:2] for r in shingles.keep_one(frame(spark, rows)).collect()]
+    assert sorted((i, t) for i, t in kept if i is not None) == [(2, near), (7, ""), (8, "")]
+    texts = [t for i, t in kept if i is None]
+    assert texts.count(None) == 2 and texts.count(" ") == 1 and texts.count("alone") == 1
+    assert len(texts) == 5 and not {near, near + " 1"} & set(texts)
+
+
 def test_components_of_long_chains(spark, tmp_path):
     pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101), (7, 7), (100, 101)]
     found = components.smallest_reachable(

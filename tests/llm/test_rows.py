@@ -57,6 +57,18 @@ def test_quality_counts_and_verdicts(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
 
 
+def test_threshold_is_the_same_in_any_order(spark):
+    rows, labels = quality_rows(4)
+    rows += [(i, f"{t} other words", x) for i, t, x in rows if i is not None and i % 3 == 0]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    found = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string").repartition(1 + seed)
+        found.add(quality.fit(docs, marks).threshold)
+    assert len(found) == 1
+
+
 def test_quality_without_labels_or_documents(spark):
     rows, labels = quality_rows(2)
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string")
