@@ -254,9 +254,7 @@ def rebuild_kept(spark: SparkSession, db: str) -> None:
         fact, spark.table(f"{db}.{schemas.VISITORS.name}"), spark.table(f"{db}.{schemas.ARRIVAL_DATE.name}")
     )
     for table in schemas.KEPT_TABLES:
-        tables.replace_rows(
-            spark, spark.table(f"{db}.{table.name}").limit(0), f"{db}.{table.name}"
-        )
+        tables.drop_partitions(spark, f"{db}.{table.name}")
     _put(spark, db, _keys(batch), schemas.VISIT_KEYS, "append")
     visits = fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
     _put(spark, db, visits, schemas.DATE_VISITS, "append")
