@@ -379,12 +379,54 @@ def published_less(t: Tables) -> DataFrame:
 
 def published_key_index(t: Tables) -> DataFrame:
     """The key index after a replace and an append, month by month."""
+    return t.spark.table(f"{_published_in_parts(t)}.{schemas.VISIT_KEYS.name}")
+
+
+def _published_in_parts(t: Tables) -> str:
+    """Everything published, after a month's visits were replaced and others appended."""
     db = new_warehouse(t.spark)
     visits = _visits(t)
     for days, mode in (("> 15", "replace"), ("<= 15", "replace"), ("> 15", "append")):
         part = visits.filter(f"day(arrival_date) {days}")
         publish.publish_batch(t.spark, db, publish.stage_visits(t.spark, db, part), mode)
-    return t.spark.table(f"{db}.{schemas.VISIT_KEYS.name}")
+    return db
+
+
+def kept_counts(t: Tables) -> DataFrame:
+    """The kept counts, each month's added up."""
+    counts = t.spark.table(f"{_published_in_parts(t)}.{schemas.MONTH_COUNTS.name}")
+    keys = [c for c in counts.columns if c != reports.VISITS]
+    return counts.groupBy(*keys).agg(F.sum(reports.VISITS).alias(reports.VISITS))
+
+
+def kept_reports(t: Tables) -> DataFrame:
+    """Reports over the kept counts, one below the other."""
+    db = _published_in_parts(t)
+    counts = t.spark.table(f"{db}.{schemas.MONTH_COUNTS.name}")
+    totals = _totals(t)
+    found = {
+        "top_ports": (reports.top_ports(counts), "port_city"),
+        "top_origins": (reports.top_origins(counts), "origin_country"),
+        "visits_by_visa": (reports.visits_by_visa(counts), "visa_category"),
+        "visits_by_month": (reports.visits_by_month(counts), "year_month"),
+        "visits_by_mode": (reports.visits_by_mode(counts), "entry_mode"),
+        "top_ports_population": (reports.top_ports_population(counts, totals), "port_city"),
+    }
+    return quality.union_all(
+        [
+            rows.select(
+                F.lit(name).alias("report"),
+                F.col(key).cast("string").alias("key"),
+                F.col(reports.VISITS).alias(reports.VISITS),
+            )
+            for name, (rows, key) in found.items()
+        ]
+    )
+
+
+def kept_port_diversity(t: Tables) -> DataFrame:
+    counts = t.spark.table(f"{_published_in_parts(t)}.{schemas.MONTH_COUNTS.name}")
+    return _decimals_as_double(reports.port_diversity(counts, _totals(t), _races(t)))
 
 
 def staged_together(t: Tables) -> DataFrame:
@@ -496,6 +538,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "published_less": published_less,
     "published_key_index": published_key_index,
     "staged_together": staged_together,
+    "kept_counts": kept_counts,
+    "kept_reports": kept_reports,
+    "kept_port_diversity": kept_port_diversity,
     "published_top_ports": lambda t: over_published(t, reports.top_ports, "visitor_analysis"),
     "published_month_gender": lambda t: over_published(
         t, reports.visits_by_month_gender, "visitor_analysis", "visitors", "arrival_date"

@@ -329,7 +329,10 @@ OVER_STAR |= {
             UNION ALL SELECT 'state_demographics', count(*) FROM state_demographics
             UNION ALL SELECT 'state_demographics_by_race', count(*) FROM state_demographics_by_race
             UNION ALL SELECT 'visit_keys', count(*) FROM visits
-            UNION ALL SELECT 'date_visits', count(DISTINCT (arrival_date, year_month)) FROM visits)""",
+            UNION ALL SELECT 'date_visits', count(DISTINCT (arrival_date, year_month)) FROM visits
+            UNION ALL SELECT 'month_counts', count(DISTINCT (year_month, port_city, port_state_code))
+                + count(DISTINCT (year_month, visa_category)) + count(DISTINCT (year_month, entry_mode))
+                + count(DISTINCT (year_month, origin_country)) FROM visits)""",
     "arrivals_distinct_by_digest": OVER_STAR["arrivals_typed_distinct"],
     "load_counts": """
         SELECT what, CAST(n AS BIGINT) AS n FROM (
@@ -375,6 +378,27 @@ OVER_STAR |= {
                    AS arrival_month
         FROM visits""",
     "staged_together": FACT,
+    "kept_counts": """
+        SELECT CASE WHEN grouping(port_city) = 0 THEN 'port' WHEN grouping(visa_category) = 0 THEN 'visa'
+                    WHEN grouping(origin_country) = 0 THEN 'origin' ELSE 'mode' END AS counted_by,
+               port_city, port_state_code, visa_category, origin_country, entry_mode, year_month,
+               count(*) AS visitor_cnt
+        FROM visits
+        GROUP BY GROUPING SETS ((year_month, port_city, port_state_code), (year_month, visa_category),
+                                (year_month, origin_country), (year_month, entry_mode))""",
+    "kept_reports": " UNION ALL ".join(
+        f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, visitor_cnt "
+        f"FROM ({OVER_STAR[name]})"
+        for name, key in (
+            ("top_ports", "port_city"),
+            ("top_origins", "origin_country"),
+            ("visits_by_visa", "visa_category"),
+            ("visits_by_month", "year_month"),
+            ("visits_by_mode", "entry_mode"),
+            ("top_ports_population", "port_city"),
+        )
+    ),
+    "kept_port_diversity": OVER_STAR["port_diversity"],
     "demographics_from_json": OVER_STAR["demographics_total"],
     "demographics_race_from_json": OVER_STAR["demographics_race"],
 }

@@ -23,7 +23,7 @@ from arrivals_engine.operators.quality import (
     limit_rejected,
     union_all,
 )
-from arrivals_engine.plans import star
+from arrivals_engine.plans import reports, star
 from arrivals_engine.sources import tables
 from arrivals_engine.sources.readers import read_typed_json
 
@@ -242,12 +242,13 @@ def publish_batch(
     _put(spark, db, batch.fact, schemas.VISITOR_ANALYSIS, mode)
     visits = batch.fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
     _put(spark, db, visits, schemas.DATE_VISITS, mode)
+    _put(spark, db, reports.month_counts(batch.fact), schemas.MONTH_COUNTS, mode)
     if mode == "replace":
         _drop_dates_without_visits(spark, db)
 
 
 def rebuild_kept(spark: SparkSession, db: str) -> None:
-    """The key index and the counts of dates anew from the published tables: for a warehouse of
+    """The key index and the counts of dates and months anew from the published tables: for a warehouse of
     before they were kept, and after an append that was broken off."""
     fact = spark.table(f"{db}.{schemas.VISITOR_ANALYSIS.name}")
     batch = Batch(
@@ -258,6 +259,7 @@ def rebuild_kept(spark: SparkSession, db: str) -> None:
     _put(spark, db, _keys(batch), schemas.VISIT_KEYS, "append")
     visits = fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
     _put(spark, db, visits, schemas.DATE_VISITS, "append")
+    _put(spark, db, reports.month_counts(fact), schemas.MONTH_COUNTS, "append")
 
 
 def publish_month(

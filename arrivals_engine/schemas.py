@@ -214,6 +214,23 @@ DATE_VISITS = Table(
     partition="year_month",
 )
 
+#: Visits of each month by what the reports count by. Each row is of one report's keys, named in
+#: ``counted_by``; the others are null.
+MONTH_COUNTS = Table(
+    "month_counts",
+    (
+        Column("counted_by", "STRING", True),
+        Column("port_city", "STRING"),
+        Column("port_state_code", "STRING"),
+        Column("visa_category", "STRING"),
+        Column("origin_country", "STRING"),
+        Column("entry_mode", "STRING"),
+        Column("visitor_cnt", "BIGINT", True),
+        Column("year_month", "INT", True),
+    ),
+    partition="year_month",
+)
+
 # ---- staging: nothing required, so that a bad batch can be inspected -------
 
 
@@ -254,7 +271,7 @@ FINAL_TABLES = (
     STATE_DEMOGRAPHICS,
     STATE_DEMOGRAPHICS_BY_RACE,
 )
-KEPT_TABLES = (VISIT_KEYS, DATE_VISITS)
+KEPT_TABLES = (VISIT_KEYS, DATE_VISITS, MONTH_COUNTS)
 STAGE_TABLES = (STAGE_VISITS, STAGE_STATE_DEMOGRAPHICS, STAGE_STATE_DEMOGRAPHICS_BY_RACE)
 STAGE_VIEWS = {
     f"stage_{table.name}": table for table in (VISITOR_ANALYSIS, VISITORS, ARRIVAL_DATE)

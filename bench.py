@@ -76,21 +76,24 @@ def star_reports(spark: SparkSession, db: str) -> dict[str, Callable[[], DataFra
     def fact() -> DataFrame:
         return table("visitor_analysis")
 
+    def counts() -> DataFrame:
+        return table("month_counts")
+
     def totals() -> DataFrame:
         return table("state_demographics")
 
     return {
-        "top_ports": lambda: reports.top_ports(fact()),
+        "top_ports": lambda: reports.top_ports(counts()),
         "visits_by_month_gender": lambda: reports.visits_by_month_gender(
             fact(), table("visitors"), table("arrival_date"), gated=True
         ),
-        "top_ports_population": lambda: reports.top_ports_population(fact(), totals()),
-        "visits_by_visa": lambda: reports.visits_by_visa(fact()),
-        "top_origins": lambda: reports.top_origins(fact()),
-        "visits_by_month": lambda: reports.visits_by_month(fact()),
-        "visits_by_mode": lambda: reports.visits_by_mode(fact()),
+        "top_ports_population": lambda: reports.top_ports_population(counts(), totals()),
+        "visits_by_visa": lambda: reports.visits_by_visa(counts()),
+        "top_origins": lambda: reports.top_origins(counts()),
+        "visits_by_month": lambda: reports.visits_by_month(counts()),
+        "visits_by_mode": lambda: reports.visits_by_mode(counts()),
         "port_diversity": lambda: reports.port_diversity(
-            fact(), totals(), table("state_demographics_by_race")
+            counts(), totals(), table("state_demographics_by_race")
         ),
     }
 
