@@ -2,10 +2,11 @@
 
 A text longer than ``piece_chars`` is cut into pieces, which tasks encode in parallel. The
 encodings are joined in pairs, halves of halves, up to the whole text: around each join a
-window is encoded anew and grows until it agrees with both sides. It agrees at a place where
-the splitting pattern always separates words, or, inside a run without such a place, by
-having the same token there as the side has. Merges are local, so tokens that are right in
-pairs are right as a whole, and the result equals that of encoding the text at once.
+window is encoded anew and grows until it agrees with both sides: until on either side it
+begins or ends, between two tokens, at a place where the splitting pattern separates words
+whatever stands around them, or at the end of the text. No merge reaches over such a place, so
+the result equals that of encoding the text at once. That the same token stands on both sides
+of a place is not enough, as the next character may change where a run of blanks is split.
 
 Most pieces go through a fast implementation of the same vocabulary. Pieces with characters
 on whose classes the two libraries could differ go through the tokenizers library itself.
@@ -21,8 +22,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import unicodedata
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -134,11 +136,9 @@ class Codec:
             end = len(self.to_bytes(ri[:b]).decode())
             p = (a, start) if a == 0 else self._safe(lt, start, li[a:], a)
             q = (b, end) if b == len(ri) else self._safe(rt, 0, ri[:b], 0, first=True)
-            a, start = p or (a, start)
-            b, end = q or (b, end)
-            ids = self.encode(lt[start:] + rt[:end])
-            if (p or ids[0] == li[a]) and (q or ids[-1] == ri[b - 1]):
-                return lt + rt, li[:a] + ids + ri[b:]
+            if p and q:
+                (a, start), (b, end) = p, q
+                return lt + rt, li[:a] + self.encode(lt[start:] + rt[:end]) + ri[b:]
             window *= 2
 
     def _safe(self, text: str, at: int, ids: list[int], n: int, first: bool = False):
@@ -172,6 +172,7 @@ class Codec:
         return len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
+# The bytes that vocabularies of this kind write as themselves.
 def _byte_characters() -> dict[int, str]:
     """The visible character by which vocabularies of this kind write each byte."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -186,7 +187,14 @@ def _inside_character(token: bytes) -> bool:
 _kinds = [(regex.compile(r"\s"), "space"), (regex.compile(r"\p{L}"), "letter"), (regex.compile(r"\p{N}"), "number")]
 
 
+@lru_cache(maxsize=100_000)
 def _kind(char: str) -> str:
+    """The class of a character in the pattern, or 'unsure' if libraries may differ on it: it is
+    new, or its class has changed, or it is a control character that only some take for a space."""
+    old, new = unicodedata.ucd_3_2_0.category(char), unicodedata.category(char)
+    changed = old[0] != new[0] and {old[0], new[0]} & {"L", "N", "Z"}
+    if old == "Cn" or changed or "\x1c" <= char <= "\x1f":
+        return "unsure"
     return next((name for found, name in _kinds if found.match(char)), "other")
 
 
@@ -195,6 +203,8 @@ def _safe_place(text: str, at: int) -> bool:
     that is no space and before one of another kind, but not before a letter behind an
     'other', which may be one word as in 's."""
     before, after = _kind(text[at - 1]), _kind(text[at])
+    if "unsure" in (before, after):
+        return False
     return before not in ("space", after) and (before, after) != ("other", "letter")
 
 

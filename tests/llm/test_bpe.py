@@ -48,6 +48,37 @@ def test_joined_pieces_equal_the_whole(codec, library, seed):
     assert codec.decode(library(text)) == text
 
 
+ALPHABETS = [
+    ["\x85", " ", "\u200b", "'", "x", "\t"],
+    ["\x1c", "!", "1", "a", " ", "\u2028", "\u180e"],
+    ["'", "s", "ll", "1", " ", "\n", "it"],
+    ["日", "本", "。", "１", "\u3000", "a", "🙂", "\ufe0f", "\u0301"],
+    ["ꟊ", "\U00011f00", "\u20c0", "a", "1", "!", " "],
+    ["<|", "endoftext", "|>", "<|endoftext|>", " ", "|"],
+]
+
+
+@pytest.mark.parametrize("window", [1, 16])
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+def test_joins_are_exact_with_any_window(codec, library, alphabet, window):
+    rng = random.Random(window)
+    for _ in range(450):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(2, 90)))
+        parts = [(p, codec.encode(p)) for p in codec.pieces(text, rng.randrange(1, 9))]
+        while len(parts) > 1:
+            pairs = [codec.join(x, y, window) for x, y in zip(parts[::2], parts[1::2], strict=False)]
+            parts = pairs + parts[len(parts) - len(parts) % 2 :]
+        assert parts[0] == (text, library(text)), repr(text)
+
+
+def test_joins_at_the_usual_size(codec, library):
+    rng = random.Random(0)
+    for alphabet in (*ALPHABETS, ["the ", "of", "  ", "\n", "word", "1,000", " (a)"]):
+        text = "".join(rng.choice(alphabet) for _ in range(40_000))
+        parts = [(p, codec.encode(p)) for p in codec.pieces(text, 32768)]
+        assert len(parts) > 1 and codec.tree(parts) == (text, library(text))
+
+
 def test_the_fast_way_agrees_on_every_character_it_takes(codec, library):
     chars = [chr(c) for c in range(0x110000) if bpe._STABLE.fullmatch(chr(c))]
     assert len(chars) > 500
