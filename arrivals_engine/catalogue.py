@@ -94,6 +94,15 @@ def decode_large_lookups(t: Tables) -> DataFrame:
     return decode.decode(_cleaned(t), codes)
 
 
+def decode_hot_codes(t: Tables) -> DataFrame:
+    """The same with the frequent codes dealt out over tasks."""
+    codes = decode.checked_lookups(
+        fixtures.ports(t), fixtures.destinations(t), fixtures.origins(t), max_broadcast_bytes=0
+    )
+    hot = decode.hot_codes_of(clean.type_arrivals(fixtures.raw_arrivals(t)), codes)
+    return decode.decode(_cleaned(t), codes, hot)
+
+
 def derive_dates(t: Tables) -> DataFrame:
     return _cleaned(t).select(
         "admnum",
@@ -495,6 +504,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "decode_destination": decode_destination,
     "decode_origin": decode_origin,
     "decode_large_lookups": decode_large_lookups,
+    "decode_hot_codes": decode_hot_codes,
     "derive_dates": derive_dates,
     "derive_year_month": derive_year_month,
     "derive_categories": derive_categories,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.operators.joins import lookup_join
+from arrivals_engine.operators.joins import HotCodes, dealt_lookup_join, hot_codes, lookup_join
 from arrivals_engine.operators.quality import QualityError, measure_lookups
 
 # Fixed value: stands for a code without an entry, and for an empty entry.
@@ -60,21 +60,34 @@ def checked_lookups(
     )
 
 
-def decode_port(rows: DataFrame, ports: Lookup) -> DataFrame:
-    return lookup_join(rows, ports.frame, "i94port", "port_code", ports.small).drop("port_code")
+Hot = dict[str, HotCodes]
 
 
-def decode_destination(rows: DataFrame, destinations: Lookup) -> DataFrame:
+def hot_codes_of(typed: DataFrame, lookups: Lookups) -> Hot:
+    """The frequent codes of those columns whose lookups are too large to broadcast."""
+    of = {"i94port": lookups.ports, "i94addr": lookups.destinations, "i94cit": lookups.origins}
+    keys = [key for key, lookup in of.items() if not lookup.small]
+    tasks = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return hot_codes(typed, keys, tasks) if keys else {}
+
+
+def _decoded(rows: DataFrame, lookup: Lookup, key: str, code: str, hot: Hot | None) -> DataFrame:
+    if hot and key in hot and not lookup.small:
+        return dealt_lookup_join(rows, lookup.frame, key, code, hot[key])
+    return lookup_join(rows, lookup.frame, key, code, lookup.small)
+
+
+def decode_port(rows: DataFrame, ports: Lookup, hot: Hot | None = None) -> DataFrame:
+    return _decoded(rows, ports, "i94port", "port_code", hot).drop("port_code")
+
+
+def decode_destination(rows: DataFrame, destinations: Lookup, hot: Hot | None = None) -> DataFrame:
     """A known code comes back as dest_state_code, an unknown one as null."""
-    return lookup_join(
-        rows, destinations.frame, "i94addr", "dest_state_code", destinations.small
-    )
+    return _decoded(rows, destinations, "i94addr", "dest_state_code", hot)
 
 
-def decode_origin(rows: DataFrame, origins: Lookup) -> DataFrame:
-    return lookup_join(rows, origins.frame, "i94cit", "origin_code", origins.small).drop(
-        "origin_code"
-    )
+def decode_origin(rows: DataFrame, origins: Lookup, hot: Hot | None = None) -> DataFrame:
+    return _decoded(rows, origins, "i94cit", "origin_code", hot).drop("origin_code")
 
 
 def fill_misses(rows: DataFrame) -> DataFrame:
@@ -89,8 +102,10 @@ def fill_misses(rows: DataFrame) -> DataFrame:
     return rows.fillna(OTHER, subset=[c for c in rows.columns if c in decoded])
 
 
-def decode(rows: DataFrame, lookups: Lookups) -> DataFrame:
-    rows = decode_port(rows, lookups.ports)
-    rows = decode_destination(rows, lookups.destinations)
-    rows = decode_origin(rows, lookups.origins)
+def decode(rows: DataFrame, lookups: Lookups, hot: Hot | None = None) -> DataFrame:
+    """With `hot`, the frequent codes of rows, these are dealt out over tasks where the lookup is
+    too large to broadcast; without, adaptive execution splits them."""
+    rows = decode_port(rows, lookups.ports, hot)
+    rows = decode_destination(rows, lookups.destinations, hot)
+    rows = decode_origin(rows, lookups.origins, hot)
     return fill_misses(rows)

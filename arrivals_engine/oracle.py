@@ -301,6 +301,7 @@ OVER_STAR = {
 
 OVER_STAR |= {
     "decode_large_lookups": "SELECT * FROM decoded",
+    "decode_hot_codes": "SELECT * FROM decoded",
     "arrivals_parquet_roundtrip": OVER_STAR["visits"],
     "rejected_values": """
         SELECT 'rejected' AS check_name, 'arrivals' AS table_name, subject,

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals_engine.functions import categories, dates
-from arrivals_engine.operators.clean import clean_arrivals
-from arrivals_engine.operators.decode import Lookups, decode
+from arrivals_engine.operators.clean import clean_arrivals, type_arrivals
+from arrivals_engine.operators.decode import Lookups, decode, hot_codes_of
 from arrivals_engine.schemas import (
     ARRIVAL_DATE,
     DEMOGRAPHIC_FIELDS,
@@ -44,7 +44,8 @@ def derive_visits(decoded: DataFrame) -> DataFrame:
 
 def build_visits(raw: DataFrame, lookups: Lookups) -> DataFrame:
     """One row per distinct arrival with an id, with all columns of fact and visitors."""
-    return derive_visits(decode(clean_arrivals(raw), lookups))
+    hot = hot_codes_of(type_arrivals(raw), lookups)
+    return derive_visits(decode(clean_arrivals(raw), lookups, hot))
 
 
 def visit_fact(visits: DataFrame) -> DataFrame:

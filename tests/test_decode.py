@@ -158,3 +158,39 @@ def test_a_frequent_code_is_split_by_adaptive_execution(spark):
             spark.conf.unset(name)
     assert len(sizes) > 4
     assert max(r["count"] for r in sizes) < 50_000
+
+
+def test_frequent_codes_are_dealt_out_evenly(spark):
+    """A third of the rows has one code, a third none; no task has twice the mean."""
+    code = "CASE id % 3 WHEN 0 THEN 'HOT' WHEN 1 THEN CAST(id % 500 AS STRING) END"
+    rows_ = spark.range(60_000).selectExpr(f"{code} AS code", "id").repartition(4)
+    lookup = spark.range(500).selectExpr("CAST(id AS STRING) AS known", "id AS value")
+    lookup = lookup.union(spark.createDataFrame([("HOT", -1), ("OTHER", -2)], lookup.schema))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = joins.hot_codes(rows_, ["code"], 8)["code"]
+        assert set(hot.parts) == {"HOT"} and hot.parts["HOT"] >= 20 and hot.parts_of_none >= 20
+        found = joins.dealt_lookup_join(rows_, lookup, "code", "known", hot)
+        plain = joins.lookup_join(rows_, lookup, "code", "known", False)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        uneven = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) <= 2 * sum(sizes) / 8 < max(uneven)
+        assert rows(found) == rows(plain) and found.columns == plain.columns
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_frequent_codes_change_nothing(spark):
+    port = ("NYC", "NYC", "NYC", None, "ZZZ")
+    changes = [{"admnum": float(i), "i94port": port[i % 5], "i94cit": (101.0, None)[i % 2]} for i in range(300)]
+    many = clean_arrivals(arrivals(spark, *changes))
+    codes = lookups(spark, max_broadcast_bytes=0)
+    hot = decode.hot_codes_of(many, codes)
+    assert hot["i94port"].parts["NYC"] > 1 and hot["i94cit"].parts == {101: hot["i94cit"].parts[101]}
+    assert rows(decode.decode(many, codes, hot)) == rows(decode.decode(many, lookups(spark)))
+    assert decode.hot_codes_of(many, lookups(spark)) == {}
+    none = decode.hot_codes_of(many.limit(0), codes)
+    assert rows(decode.decode(many, codes, none)) == rows(decode.decode(many, codes, hot))
