@@ -1,13 +1,14 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Records are sorted by range of page_id, so each task writes a stretch of them into files of
-its own and starts a new file where the compressed size would pass ``roll_bytes``. Headers,
-record ids and digests are made from the record alone, and each record is a gzip member
-without a time, so the same pages in the same partitions give the same bytes. A file is
-written under a temporary name that holds the task attempt and renamed when it is complete; a
-task that runs again writes the same file again. The manifest lists the complete files with
-size and digest. It is written last, and the reader takes only what it lists, so an
-interrupted write leaves nothing that counts.
+Records are dealt into shards, stretches of page_id of about ``shard_bytes`` of payload, whose
+bounds are exact sums over ranges of ids; a range with more than that, as of pages without id,
+is cut by digest. A task writes each shard, sorted, into files of its own and starts a new file
+where the compressed size would pass ``roll_bytes``. Headers, record ids and digests are made
+from the record alone, and each record is a gzip member without a time, so the same pages give
+the same files, however they are partitioned. A file is written under a temporary name that
+holds the task attempt and renamed when it is complete; a task that runs again leaves a file
+that is there. The manifest lists the complete files with size and digest. It is written last,
+and the reader takes only what it lists, so an interrupted write leaves nothing that counts.
 
 Of records with equal payloads of at least ``min_bytes``, that with the smallest page_id is a
 response and the others are revisits that refer to it.
@@ -31,7 +32,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivals_engine.llm.common import Scratch, partitions
@@ -94,13 +95,13 @@ def page_record(
 
 
 class _Files:
-    """The files of one task."""
+    """The files of one shard."""
 
-    def __init__(self, folder: str, task: int, attempt: int, roll_bytes: int):
+    def __init__(self, folder: str, shard: int, attempt: int, roll_bytes: int):
         from pyarrow import fs
 
         self.fs, self.folder = fs.FileSystem.from_uri(folder)
-        self.task, self.attempt, self.roll_bytes = task, attempt, roll_bytes
+        self.shard, self.attempt, self.roll_bytes = shard, attempt, roll_bytes
         self.out, self.number = None, 0
 
     def add(self, record: bytes) -> Iterator[tuple]:
@@ -109,7 +110,7 @@ class _Files:
         if self.out and self.size + len(member) > self.roll_bytes:
             yield self.close()
         if not self.out:
-            self.name = f"part-{self.task:05d}-{self.number:05d}.warc.gz"
+            self.name = f"part-{self.shard:05d}-{self.number:05d}.warc.gz"
             self.temporary = f"{self.folder}/_temporary/{self.name}.{self.attempt}"
             self.fs.create_dir(f"{self.folder}/_temporary", recursive=True)
             self.out = self.fs.open_output_stream(self.temporary, compression=None)
@@ -129,15 +130,54 @@ class _Files:
 
         self.out.close()
         final = f"{self.folder}/{self.name}"
-        if self.fs.get_file_info(final).type != fs.FileType.NotFound:
-            self.fs.delete_file(final)  # of an attempt before, with the same bytes
-        self.fs.move(self.temporary, final)
+        if self.fs.get_file_info(final).type == fs.FileType.NotFound:
+            self.fs.move(self.temporary, final)
+        else:  # of an attempt before, with the same bytes
+            self.fs.delete_file(self.temporary)
         self.out, self.number = None, self.number + 1
         return self.name, self.records, self.size, self.sha.hexdigest()
 
 
+#: Ids are counted in ranges of so many; digests are cut into so many places.
+RANGE, PLACES = 4096, 1 << 16
+#: So many ranges are broadcast; with more, their shards are joined.
+MOST_RANGES = 500_000
+
+
+def _in_shards(rows: DataFrame, shard_bytes: int | None, roll_bytes: int, scratch: Scratch) -> DataFrame:
+    """rows (page_id, sha1, payload) with the number of their shard. Without shard_bytes a shard
+    has a 512th of all bytes, but at least 4 MB and at most four times roll_bytes."""
+    of_range = F.floor(F.col("page_id") / RANGE)
+    place = F.conv(F.substring("sha1", 1, 4), 16, 10).cast("long")
+    sizes = scratch.put(
+        rows.groupBy(of_range.alias("range")).agg(F.sum(F.octet_length("payload")).alias("size")),
+        "sizes",
+    )
+    n, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    each = shard_bytes or max(4 << 20, min(4 * roll_bytes, total // 512))
+    # One row per range of ids goes through the window.
+    upto = F.sum("size").over(Window.orderBy(F.col("range").asc_nulls_first()))
+    shards = sizes.select(
+        "range",
+        F.floor((upto - F.col("size")) / each).alias("first_shard"),
+        F.greatest(F.lit(1), F.ceil(F.col("size") / each)).alias("cuts"),
+    )
+    keyed = rows.withColumns({"range": of_range, "place": place})
+    shards = F.broadcast(shards) if n <= MOST_RANGES else shards
+    cut = F.floor(F.col("place") * F.col("cuts") / PLACES)
+    same = keyed["range"].eqNullSafe(shards["range"])
+    return keyed.join(shards, same).select(
+        *(keyed[c] for c in rows.columns), (F.col("first_shard") + cut).alias("shard")
+    )
+
+
 def write(
-    pages: DataFrame, folder: str, *, min_bytes: int = 0, roll_bytes: int = 64 << 20
+    pages: DataFrame,
+    folder: str,
+    *,
+    min_bytes: int = 0,
+    roll_bytes: int = 64 << 20,
+    shard_bytes: int | None = None,
 ) -> DataFrame:
     """Writes the archives and their manifest into a new folder; returns the manifest."""
     spark = pages.sparkSession
@@ -156,21 +196,25 @@ def write(
         "first",
     )
     ordered = (
-        rows.join(first, "sha1", "left")
-        .repartitionByRange(partitions(spark), "page_id", "sha1")
-        .sortWithinPartitions("page_id", "sha1", "url")
+        _in_shards(rows, shard_bytes, roll_bytes, scratch)
+        .join(first, "sha1", "left")
+        .repartition(partitions(spark), "shard")
+        .sortWithinPartitions("shard", "page_id", "sha1", "url")
     )
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        task = TaskContext.get()
-        files = _Files(folder, task.partitionId(), task.taskAttemptId(), roll_bytes)
+        attempt, files = TaskContext.get().taskAttemptId(), None
         before, copy, done = None, 0, []
         for batch in batches:
-            for page_id, url, payload, sha1, first_id, several in batch[
-                ["page_id", "url", "payload", "sha1", "first_id", "several"]
+            for shard, page_id, url, payload, sha1, first_id, several in batch[
+                ["shard", "page_id", "url", "payload", "sha1", "first_id", "several"]
             ].itertuples(index=False):
+                if files is None or files.shard != shard:
+                    if files:
+                        done.append(files.close())
+                    files = _Files(folder, int(shard), attempt, roll_bytes)
                 page_id, first_id = (None if pd.isna(x) else int(x) for x in (page_id, first_id))
                 copy = copy + 1 if before == (page_id, sha1) else 0
                 before = (page_id, sha1)
@@ -179,7 +223,7 @@ def write(
                 done.extend(files.add(record))
             yield pd.DataFrame(done, columns=["file", "records", "bytes", "sha256"])
             done = []
-        if files.out:
+        if files:
             yield pd.DataFrame([files.close()], columns=["file", "records", "bytes", "sha256"])
 
     ids = ordered.withColumns({c: F.col(c).cast("string") for c in ("page_id", "first_id")})

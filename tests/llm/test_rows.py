@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arrivals_engine.llm import chat, html, langid, quality, urls, warc
 from arrivals_engine.sources.scratch import scratch_path
@@ -366,3 +367,18 @@ def test_small_payloads_are_all_responses_and_no_pages_no_files(spark):
     empty = scratch_path(spark, "test_warc")
     assert warc.write(pages.limit(0), empty).collect() == []
     assert warc.read(spark, empty).collect() == []
+
+
+def test_archives_do_not_depend_on_partitions(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    nameless = pages.where("page_id < 300").withColumn("page_id", F.lit(None).cast("long"))
+    pages = pages.unionByName(nameless).unionByName(pages.where("page_id % 50 = 0"))
+    listed = []
+    for parts in (3, 7):
+        folder = scratch_path(spark, "test_warc")
+        dealt = pages.orderBy(F.rand(parts)).repartition(parts)
+        made = warc.write(dealt, folder, roll_bytes=1 << 19, shard_bytes=1 << 20)
+        listed.append(sorted(map(tuple, made.collect())))
+    assert listed[0] == listed[1] and len(listed[0]) > 4
+    assert sum(records for _, records, *_ in listed[0]) == pages.count()
+    assert warc.read(spark, folder).count() == pages.count()
