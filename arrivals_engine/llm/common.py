@@ -39,6 +39,14 @@ def row_identity(doc_id: Column, text: Column) -> Column:
     )
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, longer if docs has a column that is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Tables in the shared scratch folder: written once and read back, which cuts the lineage
     without depending on any executor staying alive. Dropped ones free their space."""

@@ -15,7 +15,8 @@ shuffles and merges. Seeds of documents are shuffled only in that case.
 
 Defined results: items without a word or without id are not searched for. Null and empty texts
 match nothing. Rows with the same doc_id are one document;
-without doc_id, rows of the same text are. Other columns are kept, whatever their names.
+without doc_id, rows of the same text are. Other columns are kept, whatever their names. The
+words of a very long text are one row's array; tables without rows give none.
 """
 
 from __future__ import annotations
@@ -23,11 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import SPACE, lower_ascii, row_identity, strip_space
+from arrivals_engine.llm.common import SPACE, free_name, lower_ascii, row_identity, strip_space
 
 #: The fewest words of an item that is searched for.
 SPAN = 1
-_DOC, _HITS = "_leak_doc", "_leak_hits"
 _HIT = "array<struct<item_id:bigint,shift:int,words:array<string>>>"
 
 
@@ -140,9 +140,11 @@ def with_leaks(
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be over 0 and at most 100, not {percent}")
     found = hits(docs, items_of(benchmark), broadcast_seeds, window, percent)
-    found = found.select(F.col("doc").alias(_DOC), F.col("hits").alias(_HITS))
-    mine = F.when(F.col(_HITS).isNotNull(), words(F.col("text")))
-    name = "_leak_words"
+    doc, hit_list, name, row = (
+        free_name(docs, f"_leak_{k}") for k in ("doc", "hits", "words", "row")
+    )
+    found = found.select(F.col("doc").alias(doc), F.col("hits").alias(hit_list))
+    mine = F.when(F.col(hit_list).isNotNull(), words(F.col("text")))
 
     def judged(hit: Column) -> Column:
         agree, stretch = _agreeing(F.col(name), hit, window)
@@ -150,17 +152,17 @@ def with_leaks(
             hit["item_id"].alias("item_id"), agree.alias("agree"), stretch.alias("stretch")
         )
 
-    checked = F.transform(F.coalesce(_HITS, F.array().cast(_HIT)), judged)
+    checked = F.transform(F.coalesce(hit_list, F.array().cast(_HIT)), judged)
     leaks = F.filter(checked, lambda x: x["agree"] * 100 >= x["stretch"] * percent)
     return (
-        docs.withColumn(_DOC, row_identity(F.col("doc_id"), F.col("text")))
-        .join(found, _DOC, "left")
+        docs.withColumn(doc, row_identity(F.col("doc_id"), F.col("text")))
+        .join(found, doc, "left")
         .withColumn(name, mine)
         # The number keeps later filters from being pushed below, where they would compute
         # the words once for each word of an item.
-        .withColumns({into: leaks, "_leak_row": F.monotonically_increasing_id()})
-        .where(F.col("_leak_row") >= 0)
-        .drop(_DOC, _HITS, name, "_leak_row")
+        .withColumns({into: leaks, row: F.monotonically_increasing_id()})
+        .where(F.col(row) >= 0)
+        .drop(doc, hit_list, name, row)
     )
 
 
@@ -183,5 +185,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of docs without leaks."""
-    into = "_leaks"
+    into = free_name(docs, "_leaks")
     return with_leaks(docs, benchmark, into=into, **how).where(F.size(into) == 0).drop(into)

@@ -11,7 +11,8 @@ runs; a compaction shuffles the runs that it merges.
 Each document must be in one batch only. Defined results: a null or empty text is one empty
 line; keys shorter than ``min_chars`` never go. Rows with the same doc_id are one document;
 without doc_id, rows of the same text are. Null texts stay null if nothing goes, and a
-text of which all lines go becomes empty. Other columns are kept, whatever their names.
+text of which all lines go becomes empty. Other columns are kept, whatever their names. A very
+long text is split by one task, which holds its lines; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -24,11 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import UPPER, lower_ascii, partitions, row_identity, strip_space, then_release
+from arrivals_engine.llm.common import UPPER, free_name, lower_ascii, partitions, row_identity, strip_space, then_release
 from arrivals_engine.sources.scratch import scratch_path
 
 KEPT = "text string, n_lines long, n_dropped long"
-_DOC, _DROP = "_line_doc", "_line_drop"
 _SPACES = " \t\n\x0b\x0c\r"
 _TO_LOWER = str.maketrans(UPPER, UPPER.lower())
 
@@ -151,22 +151,23 @@ def without_frequent_lines(
     runs = LineRuns(spark, min_docs)
     for batch in range(batches):
         runs.add(keys.where(F.col("batch") == batch).select("doc", "key"))
+    doc, drop = free_name(docs, "_line_doc"), free_name(docs, "_line_drop")
     drops = (
         keys.join(runs.frequent(), "key", "left_semi")
-        .groupBy(F.col("doc").alias(_DOC))
-        .agg(F.collect_set("key").alias(_DROP))  # as many as the document has lines at most
+        .groupBy(F.col("doc").alias(doc))
+        .agg(F.collect_set("key").alias(drop))  # as many as the document has lines at most
     )
     return (
-        docs.withColumn(_DOC, row_identity(F.col("doc_id"), F.col("text")))
-        .join(drops, _DOC, "left")
-        .withColumn(into, F.pandas_udf(_without_lines, KEPT)(F.col("text"), F.col(_DROP)))
-        .drop(_DOC, _DROP)
+        docs.withColumn(doc, row_identity(F.col("doc_id"), F.col("text")))
+        .join(drops, doc, "left")
+        .withColumn(into, F.pandas_udf(_without_lines, KEPT)(F.col("text"), F.col(drop)))
+        .drop(doc, drop)
     )
 
 
 def drop_frequent_lines(docs: DataFrame, **how) -> DataFrame:
     """docs with the text, and n_chars if there is one, of what stays."""
-    into = "_line_kept"
+    into = free_name(docs, "_line_kept")
     rows = without_frequent_lines(docs, into=into, **how)
     changed = {"text": F.col(into)["text"]}
     if "n_chars" in docs.columns:

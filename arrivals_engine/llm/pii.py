@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import Scratch
+from arrivals_engine.llm.common import Scratch, free_name
 
 Span = tuple[int, int, str]
 
@@ -336,8 +336,7 @@ def sanitised(
         known = {r["term"]: r["written"] for r in say.toLocalIterator()}
         mark = F.pandas_udf(_marked(known), FOUND)
         return docs.withColumn(into, mark(F.col("text"), F.lit(None).cast("string")))
-    taken = {c.lower() for c in docs.columns}
-    key = next(k for k in map("_pii_key{}".format, range(len(taken) + 1)) if k not in taken)
+    key = free_name(docs, "_pii_key")
     # Equal texts have equal terms, so a digest of the text is enough to find them again.
     keyed = docs.withColumn(key, F.md5(F.coalesce("text", F.lit(""))))
     own = (

@@ -11,7 +11,9 @@ of its good rows. Counting and scoring cover every row, in one pass without a sh
 Defined results: a null or empty text has no words and fails the base rules. Without
 labelled rows of both kinds nothing but the base rules rejects. A document labelled more
 than once counts as bad if any of its labels says so. Repeated rows are judged alike.
-Other columns are kept, whatever their names.
+Other columns are kept, whatever their names. Very long texts are counted whole, one at a time;
+an empty table gives no rows. Of repeated rows of a labelled id the sample has the one whose
+text has the smallest digest, so the forest does not depend on the order of rows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrivals_engine.llm.common import WORD, then_release
+from arrivals_engine.llm.common import WORD, free_name, then_release
 
 RULES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -251,7 +253,7 @@ def with_verdict(docs: DataFrame, forest: Forest, into: str = "quality") -> Data
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that neither the base rules nor the forest reject."""
-    into = "_quality_verdict"
+    into = free_name(docs, "_quality_verdict")
     judged = with_verdict(docs, fit(docs, labels), into)
     return judged.where(F.col(into)["kept"]).drop(into)
 

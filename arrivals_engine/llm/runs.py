@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from arrivals_engine.llm.common import partitions
+from arrivals_engine.llm.common import free_name, partitions
 
 LEAST_WORDS, LEAST_TIMES = 6, 4
 RUNS = "array<struct<start:long,period:long,length:long>>"
@@ -259,8 +259,7 @@ def _collapsed(texts: pd.Series, found: pd.Series) -> pd.Series:
 def with_runs(docs: DataFrame, into: str = "found") -> DataFrame:
     """docs and a struct column ``into``: the text's runs by start and period, and ``collapsed``,
     its words without those behind the first period of a run, joined by one space."""
-    taken = {c.lower() for c in docs.columns}
-    key = next(k for k in map("_run_key{}".format, range(len(taken) + 1)) if k not in taken)
+    key = free_name(docs, "_run_key")
     by_text = (
         runs(docs)
         .groupBy(F.col("key").alias(key))

@@ -29,6 +29,7 @@ classes with enough shared elements have their sets made again and shuffled.
 Defined results: documents without words or text have an empty set and no links. Rows with the
 same doc_id are linked with one another. A document without doc_id takes part, but no id comes
 from it; its component_id is null if no reachable document has one. Other columns are not read.
+The set of a very long text is made and held by one task; no documents give no rows.
 """
 
 from __future__ import annotations

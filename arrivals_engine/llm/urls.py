@@ -16,7 +16,8 @@ per pair of hosts before anything is shuffled, and ranks are written each few ro
 
 Defined results: a url that is null or has no :// has an empty host and path, which no rule
 fits and nothing links to: it is allowed. Null html has no links. Repeated rows each count
-and each get their row; other columns are not read. Without pages there are no rows.
+and each get their row; other columns are not read. Without pages there are no rows. Links of a
+very long page are one row's array.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ Defined results: null html is an empty payload, a null url leaves out the target
 the same page_id and payload the first is the response and the rest revisit it. Rows without
 page_id come first and revisit a page with id if its payload is equal; among themselves the
 first is the response, without an id to refer to. Control characters and spaces in urls are percent-encoded.
-Without pages there are no files. Other columns are not read.
+Without pages there are no files. Other columns are not read. A very long page is one record.
 
 Folders can be local, or of any kind that pyarrow.fs opens by address.
 """

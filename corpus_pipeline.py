@@ -1,4 +1,11 @@
-"""A training corpus from raw documents, in stages that each work on what the last one kept."""
+"""A training corpus from raw documents, in stages that each work on what the last one kept.
+
+Defined results: null and empty texts fail the base rules of the first stage. Repeated rows are
+judged alike and count as one document, also for lines; near copies leave the row with the
+smallest id, with all its repetitions, or one row where none has an id. Very long texts go
+through whole. Other columns are kept, whatever their names, up to the last stage, which returns
+doc_id, n_tokens, ids_sha256 and decoded_sha256. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 

@@ -115,7 +115,7 @@ def corpus(seed):
 def test_disclosing_terms_and_spans(spark, most):
     texts = [*corpus(2), None, "", " \t"]
     rows = [(i % 200, t, "x") for i, t in enumerate(texts)] + [(None, texts[201], "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _pii_key0 string").repartition(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _pii_key string").repartition(5)
     texts = [r[1] for r in rows]
     limits = pii.Limits()
     got = pii.associations(docs, limits, most).where("disclosing").select("entity", "term").collect()

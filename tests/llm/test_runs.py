@@ -139,7 +139,7 @@ ROWS = [
 def test_digests(spark, batch):
     rng = random.Random(batch)
     rows = ROWS + [(i, " ".join(random_words(rng))) for i in range(10, 150)]
-    docs = spark.createDataFrame([(i, t, 7, "k") for i, t in rows], "doc_id long, text string, found int, _run_key0 string")
+    docs = spark.createDataFrame([(i, t, 7, "k") for i, t in rows], "doc_id long, text string, found int, _run_key string")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
         got = runs.run_digests(runs.planted(docs.repartition(4))).collect()
@@ -152,13 +152,13 @@ def test_digests(spark, batch):
 
 
 def test_other_columns_are_kept(spark):
-    docs = spark.createDataFrame([(1, "b b b b b b b c", 9)], "doc_id long, text string, _run_key0 int")
+    docs = spark.createDataFrame([(1, "b b b b b b b c", 9)], "doc_id long, text string, _run_key int")
     got = runs.with_runs(docs, "periodic").collect()
     assert [r.asDict(recursive=True) for r in got] == [
         {
             "doc_id": 1,
             "text": "b b b b b b b c",
-            "_run_key0": 9,
+            "_run_key": 9,
             "periodic": {"runs": [{"start": 0, "period": 1, "length": 7}], "collapsed": "b c"},
         }
     ]
