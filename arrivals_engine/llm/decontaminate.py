@@ -1,13 +1,14 @@
-"""Benchmark decontamination by runs of words, with DataFrame functions only.
+"""Benchmark decontamination by spaced seeds, with DataFrame functions only.
 
 Texts are words without ASCII white space, A-Z lower-cased. A document is contaminated if, in
 some stretch of ``window`` words of an item (all of it, if it is shorter), at least ``percent``
-of the words agree with the document's at one distance. A stretch of L words of which s may
-differ has L - s agreeing words in at most s + 1 runs, so one run has (L - s) / (s + 1) words
-or more, rounded up: 4 of 20 words, 3 of 15, all of up to 4. Hashes of runs of that length are
-joined, of all windows of items and documents, so no stretch that agrees enough is missed. A
-hit names a document, an item and the distance between their runs; on that diagonal the words
-are compared one by one.
+of the words agree with the document's at one distance. A seed is a hash of the words that a
+fixed mask selects, as ``10111`` of five words all but the second; words that it ignores may
+differ. For each length of stretch the mask is the one with the most selected words that, by
+trying all patterns of as many differing words as are allowed, stands somewhere on agreeing
+words only; so no stretch that agrees enough is missed. Seeds of items and documents are
+joined. A hit names a document, an item and the distance between their seeds; on that diagonal
+the words are compared one by one.
 
 Items of equal words are one item, named by its smallest id. The side of the benchmark is
 broadcast only if its counted seeds are at most ``broadcast_seeds``; beyond that the join
@@ -21,6 +22,10 @@ words of a very long text are one row's array; tables without rows give none.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +33,8 @@ from arrivals_engine.llm.common import SPACE, free_name, lower_ascii, row_identi
 
 #: The fewest words of an item that is searched for.
 SPAN = 1
+#: With more patterns than this to try, a mask selects words in a row, which always does.
+MOST_PATTERNS = 200_000
 _HIT = "array<struct<item_id:bigint,shift:int,words:array<string>>>"
 
 
@@ -35,30 +42,53 @@ def words(text: Column) -> Column:
     return F.split(strip_space(lower_ascii(F.coalesce(text, F.lit("")))), SPACE)
 
 
-def run_length(n: Column, window: int, percent: int) -> Column:
-    """How many words in a row agree at least, where an item of n words agrees enough."""
-    stretch = F.least(n, F.lit(window))
-    needed = F.ceil(stretch * percent / F.lit(100))
-    return F.ceil(needed / (stretch - needed + 1)).cast("int")
+def _stands(mask: int, length: int, patterns: list[int]) -> bool:
+    """Whether the mask stands on agreeing words only somewhere, whatever pattern differs."""
+    placed = [mask << k for k in range(length - mask.bit_length() + 1)]
+    return all(any(not at & differ for at in placed) for differ in patterns)
+
+
+@lru_cache(maxsize=None)
+def mask_for(length: int, percent: int) -> str:
+    """The mask for stretches of so many words of which so many percent agree at least."""
+    differ = length - -(-length * percent // 100)
+    run = -(-(length - differ) // (differ + 1))  # so many agreeing words stand together somewhere
+    if not differ or comb(length, differ) > MOST_PATTERNS:
+        return "1" * run
+    patterns = [sum(1 << k for k in chosen) for chosen in combinations(range(length), differ)]
+    for weight in range(run + 2, max(run, 2) - 1, -1):
+        for span in range(weight + 1, min(length - differ + 1, weight + 6) + 1):
+            for inner in combinations(range(1, span - 1), weight - 2):
+                mask = 1 | 1 << (span - 1) | sum(1 << k for k in inner)
+                if _stands(mask, length, patterns):
+                    return f"{mask:b}"
+    return "1" * run
+
+
+def _mask_of(n: Column, window: int, percent: int) -> Column:
+    masks = F.array(*(F.lit(mask_for(k, percent)) for k in range(1, window + 1)))
+    return F.get(masks, F.least(n, F.lit(window)) - 1)
 
 
-def _run_seeds(hashes: Column, run: int) -> Column:
-    """A hash for each run of words, in order; none if there are fewer words than that."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - run)
+def _mask_seeds(hashes: Column, mask: str) -> Column:
+    """A hash of the selected words for each place of the mask, in order; none if there are fewer
+    words than it spans."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - len(mask))
+    selected = [k for k, bit in enumerate(mask) if bit == "1"]
     seeds = F.transform(
-        starts, lambda at: F.xxhash64(F.lit(run), *(F.get(hashes, at + k) for k in range(run)))
+        starts, lambda at: F.xxhash64(F.lit(mask), *(F.get(hashes, at + k) for k in selected))
     )
-    return F.when(F.size(hashes) >= run, seeds)
+    return F.when(F.size(hashes) >= len(mask), seeds)
 
 
-def seeds(rows: DataFrame, name: str, runs: list[int]) -> DataFrame:
+def seeds(rows: DataFrame, name: str, masks: list[str]) -> DataFrame:
     """(name, seed, at): the seeds of the words of rows (name, words), with their place. With a
-    column run, a row has those of that length only."""
-    own = [F.col("run")] if "run" in rows.columns else []
+    column mask, a row has those of that mask only."""
+    own = [F.col("mask")] if "mask" in rows.columns else []
     hashed = rows.select(name, *own, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    parts = [_run_seeds(F.col("h"), run) for run in runs]
+    parts = [_mask_seeds(F.col("h"), mask) for mask in masks]
     if own:
-        parts = [F.when(F.col("run") == run, part) for run, part in zip(runs, parts, strict=True)]
+        parts = [F.when(F.col("mask") == mask, part) for mask, part in zip(masks, parts, strict=True)]
     # An inner explode would have the optimizer compute the array once more, in a filter.
     none = F.array().cast("array<bigint>")
     each = F.array(*(F.coalesce(part, none) for part in parts)) if parts else F.array(none)
@@ -84,17 +114,18 @@ def hits(
     docs: DataFrame, items: DataFrame, broadcast_seeds: int, window: int, percent: int
 ) -> DataFrame:
     """(doc, hits): the items, with their words, and shifts at which seeds of the doc agree."""
-    sized = items.withColumn("run", run_length(F.size("words"), window, percent))
-    # A row for each length of runs, at most window.
-    counted = sized.groupBy("run").agg(F.sum(F.size("words") - F.col("run") + 1).alias("n")).collect()
-    runs = sorted(r["run"] for r in counted)
+    sized = items.withColumn("mask", _mask_of(F.size("words"), window, percent))
+    # A row for each mask, at most window.
+    n_seeds = F.sum(F.size("words") - F.length("mask") + 1)
+    counted = sized.groupBy("mask").agg(n_seeds.alias("n")).collect()
+    masks = sorted(r["mask"] for r in counted)
     small = sum(r["n"] for r in counted) <= broadcast_seeds
-    wanted = seeds(sized, "item_id", runs)
+    wanted = seeds(sized, "item_id", masks)
     ours = docs.select(
         row_identity(F.col("doc_id"), F.col("text")).alias("doc"), words(F.col("text")).alias("words")
     )
     found = (
-        seeds(ours, "doc", runs)
+        seeds(ours, "doc", masks)
         .withColumnRenamed("at", "doc_at")
         .join(F.broadcast(wanted) if small else wanted.hint("merge"), "seed")
         .select("doc", "item_id", (F.col("doc_at") - F.col("at")).cast("int").alias("shift"))
