@@ -135,10 +135,18 @@ def _without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
 
 
 def without_frequent_lines(
-    docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1, batches: int = 4, into: str = "kept"
+    docs: DataFrame,
+    *,
+    min_docs: int = 10,
+    min_chars: int = 1,
+    batches: int = 4,
+    most_broadcast: int = 1_000_000,
+    into: str = "kept",
 ) -> DataFrame:
     """docs and one struct column ``into`` of ``KEPT``. The corpus is added to the runs in so
-    many batches; every batch holds its documents whole."""
+    many batches; every batch holds its documents whole. Up to ``most_broadcast`` frequent keys
+    are broadcast to those of the documents, so that a key that a third of the documents has
+    meets in no task; with more of them they are merged."""
     spark = docs.sparkSession
     path = scratch_path(spark, "line_keys")
     (
@@ -152,8 +160,10 @@ def without_frequent_lines(
     for batch in range(batches):
         runs.add(keys.where(F.col("batch") == batch).select("doc", "key"))
     doc, drop = free_name(docs, "_line_doc"), free_name(docs, "_line_drop")
+    frequent = runs.frequent()
+    small = frequent.count() <= most_broadcast
     drops = (
-        keys.join(runs.frequent(), "key", "left_semi")
+        keys.join(F.broadcast(frequent) if small else frequent, "key", "left_semi")
         .groupBy(F.col("doc").alias(doc))
         .agg(F.collect_set("key").alias(drop))  # as many as the document has lines at most
     )
