@@ -201,6 +201,25 @@ def _put_keys(spark: SparkSession, db: str, batch: Batch, mode: str, months: lis
                 )
 
 
+def _merge_counts(spark: SparkSession, db: str, fact: DataFrame, gone: list[int] | None) -> None:
+    """Adds the counts of visits to those that are kept, without those of the months that are
+    gone, or, if that is None, in place of all. They are a few rows a month, so both tables are
+    written anew, each as one file."""
+    visits = fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
+    new = {}
+    for table, counted in (
+        (schemas.DATE_VISITS, visits),
+        (schemas.MONTH_COUNTS, reports.month_counts(fact)),
+    ):
+        *keys, number = table.names
+        rows = counted.select(*table.names)
+        if gone is not None:
+            kept = spark.table(f"{db}.{table.name}").filter(~F.col("year_month").isin(gone))
+            rows = rows.unionByName(kept)
+        new[f"{db}.{table.name}"] = rows.groupBy(*keys).agg(F.sum(number).alias(number))
+    tables.replace_whole(spark, new)
+
+
 def _drop_dates_without_visits(spark: SparkSession, db: str) -> None:
     name = f"{db}.{schemas.ARRIVAL_DATE.name}"
     dates = spark.table(name)
@@ -237,12 +256,11 @@ def publish_batch(
     tables.append_rows(
         spark, batch.arrival_date.join(known, "arrival_date", "left_anti"), dates_name
     )
-    _put_keys(spark, db, batch, mode, _months(batch))
+    months = _months(batch)
+    _put_keys(spark, db, batch, mode, months)
     _put(spark, db, batch.visitors, schemas.VISITORS, mode)
     _put(spark, db, batch.fact, schemas.VISITOR_ANALYSIS, mode)
-    visits = batch.fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
-    _put(spark, db, visits, schemas.DATE_VISITS, mode)
-    _put(spark, db, reports.month_counts(batch.fact), schemas.MONTH_COUNTS, mode)
+    _merge_counts(spark, db, batch.fact, months if mode == "replace" else [])
     if mode == "replace":
         _drop_dates_without_visits(spark, db)
 
@@ -254,12 +272,9 @@ def rebuild_kept(spark: SparkSession, db: str) -> None:
     batch = Batch(
         fact, spark.table(f"{db}.{schemas.VISITORS.name}"), spark.table(f"{db}.{schemas.ARRIVAL_DATE.name}")
     )
-    for table in schemas.KEPT_TABLES:
-        tables.drop_partitions(spark, f"{db}.{table.name}")
+    tables.drop_partitions(spark, f"{db}.{schemas.VISIT_KEYS.name}")
     _put(spark, db, _keys(batch), schemas.VISIT_KEYS, "append")
-    visits = fact.groupBy("arrival_date", "year_month").agg(F.count(F.lit(1)).alias("visits"))
-    _put(spark, db, visits, schemas.DATE_VISITS, "append")
-    _put(spark, db, reports.month_counts(fact), schemas.MONTH_COUNTS, "append")
+    _merge_counts(spark, db, fact, None)
 
 
 def publish_month(
