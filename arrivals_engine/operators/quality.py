@@ -20,6 +20,8 @@ LAST_YEAR = 9999
 # "fit" also counts values too long or too large for their column. Staged visits
 # are held to the column lengths when written, so they need no second look.
 ALL_CHECKS = PUBLISH_CHECKS + ("fit",)
+#: Keys of a batch beyond so many are merged with the published ones, never broadcast.
+MOST_BROADCAST_KEYS = 100_000
 
 
 class QualityError(Exception):
@@ -211,11 +213,17 @@ def collision_report(
     known is the key index, or any rows with the key. Of the index only partitions with the
     batch's months of arrival are read, and with `other_months` not those of its own months; a missing day is 1960-01-01, so
     the month of that day is read too if the batch has such rows. Of a batch, these months
-    are gathered, of which there are no more than the calendar has.
+    are gathered, of which there are no more than the calendar has, and its rows counted: Spark
+    guesses the size of a few columns from compressed files, and would broadcast many millions
+    of keys.
     """
     key = list(table.key)
-    if "arrival_month" in known.columns:
+    own_keys = rows.select(*key)
+    if "arrival_month" not in known.columns:
+        own_keys = own_keys.hint("merge")
+    else:
         months = rows.agg(
+            F.count(F.lit(1)).alias("n"),
             F.collect_set(month_of(F.col("arrival_date"))).alias("arrival"),
             F.collect_set("year_month").alias("own"),
         ).first()
@@ -224,7 +232,9 @@ def collision_report(
         )
         if other_months:
             known = known.filter(~F.col("year_month").isin(months["own"]))
-    hits = known.select(*key).join(rows.select(*key), key, "left_semi").distinct()
+        if months["n"] > MOST_BROADCAST_KEYS:
+            own_keys = own_keys.hint("merge")
+    hits = known.select(*key).join(own_keys, key, "left_semi").distinct()
     counted = hits.agg(F.count(F.lit(1)).alias("value"))
     report = counted.select(
         F.lit("new_key").alias("check_name"),

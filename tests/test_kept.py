@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 import pytest
-from helpers import arrivals, lookups, rows
+from helpers import arrivals, lookups, plan, rows
 from pyspark.sql import functions as F
 
 from arrivals_engine import schemas
@@ -77,6 +77,24 @@ def test_only_months_of_arrival_of_the_batch_are_read(spark, db):
     assert seen and "201602" in seen[0] and "201603" not in seen[0]
 
 
+def test_many_keys_are_merged_however_small_their_files(spark, tmp_path):
+    """Spark takes a column of compressed files for small, though it has millions of rows."""
+    many = spark.range(quality.MOST_BROADCAST_KEYS + 1).select(
+        F.col("id").alias("admission_id"),
+        F.expr("DATE '2016-02-01'").alias("arrival_date"),
+        F.lit(201602).alias("year_month"),
+    )
+    many.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    held = (F.lit(True).alias("in_visitor_analysis"), F.lit(201602).alias("arrival_month"))
+    index = many.filter("admission_id % 2 = 0").select("*", *held)
+    report = quality.collision_report(fact, index, schemas.VISITOR_ANALYSIS)
+    assert "BroadcastHashJoin" not in plan(report)
+    assert report.first().value == quality.MOST_BROADCAST_KEYS // 2 + 1
+    few = quality.collision_report(fact.filter("admission_id < 3"), index, schemas.VISITOR_ANALYSIS)
+    assert few.first().value == 2
+
+
 def test_index_is_rebuilt_from_published_tables(spark, db):
     load(spark, db, {}, {"admnum": 2.0} | NO_DAY, {"admnum": 3.0} | MARCH)
     before, visits = kept(spark, db), rows(spark.table(f"{db}.date_visits"))
