@@ -95,6 +95,20 @@ def test_month_gender_counts_keys_before_joining(spark):
         assert side in text
 
 
+@pytest.mark.parametrize("gated", [False, True])
+def test_month_gender_merges_visits(spark, tmp_path, gated):
+    """However small the files of their keys are."""
+    given = {
+        "fact": spark.createDataFrame([(1, DAY)], "admission_id bigint, arrival_date date"),
+        "visitors": spark.createDataFrame([(1, DAY, "F")], "admission_id bigint, arrival_date date, gender string"),
+        "dates": spark.createDataFrame([(DAY, 2016, 1)], "arrival_date date, year int, month int"),
+    }
+    for name, frame in given.items():
+        frame.write.parquet(str(tmp_path / name))
+    frame = reports.visits_by_month_gender(*(spark.read.parquet(str(tmp_path / name)) for name in given), gated)
+    assert "SortMergeJoin [admission_id" in plan(frame) and rows(frame) == [(2016, 1, "F", 1)]
+
+
 def totals(spark, *values):
     return spark.createDataFrame(
         list(values),
