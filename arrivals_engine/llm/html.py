@@ -1,13 +1,15 @@
-"""HTML extraction by names of elements and classes, helped by slots that never change.
+"""HTML extraction by templates of nested classes of tokens, and names of elements and classes.
 
 Every page is read as tokens: an opening tag with the tags it lies in is one token, and the
 text directly in it belongs to its slot. Over the pages of a host, a token has an occurrence
 vector (how often it is in each page). Tokens with equal vectors form a class; a class is
 valid if it is in at least ``min_share`` of the host's pages, of at least ``min_pages`` pages.
 Vectors are compared by a sum of hashes, so a host of any size is counted with partial sums
-and never put together in one task. Classes are not nested, and only their tokens that are
-once in each page that has them are used: on pages without article or main, those slots
-whose text is the same on all these pages are furniture. The main
+and never put together in one task. Classes are nested by the tokens that theirs lie in, to the
+host's template, and their slots are judged by the share of pages that have the same text there
+(``fixed_slots``): on all pages, text of slots that are the template's is furniture. What pages
+have beyond the template is text. Menus and adverts may differ from page to page, so names tell
+more furniture on all pages, and all of it on hosts without a template. The main
 text is what lies in an article or main element, if the page has one, and otherwise all that
 does not lie in a menu, header, footer, sidebar, notice, advert, form or comment by its
 element's name or by a whole name in its class, id or role. Such names say nothing on html and
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -50,6 +53,8 @@ FURNITURE = frozenset("head nav footer aside menu dialog button select search no
 AROUND = frozenset(["form", "fieldset"])
 #: Elements that their own kind, or a block, closes when it opens.
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
+#: Elements that name the text after them; in an article or main element they belong to it.
+LABELS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption figcaption legend summary".split())
 #: Whole names in a class, id or role: of parts of the layout, which may also be around the text,
 _PLACE = r"(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global)[-_]?)?"
 LAYOUT = re.compile(
@@ -83,6 +88,8 @@ class Element:
     path: str
     furniture: bool
     main: bool
+    #: The length of the path of the element around it.
+    up: int = 0
     #: The innermost element, from this one up, that is furniture unless most text lies in it.
     layout: Layout | None = None
 
@@ -122,7 +129,13 @@ def _marks(attributes: str) -> tuple[str, str]:
 
 def parsed(page: str | None) -> tuple[list[str], list[Block]]:
     """The tokens (paths of opened elements) and the blocks with text, both in page order."""
-    tokens: list[str] = []
+    opened, blocks = elements(page)
+    return [e.path for e in opened], blocks
+
+
+def elements(page: str | None) -> tuple[list[Element], list[Block]]:
+    """The opened elements and the blocks with text, both in page order."""
+    opened: list[Element] = []
     blocks: list[Block] = []
     open_: list[Element] = [Element("", "", False, False)]
     at, fresh = 0, True
@@ -166,12 +179,12 @@ def parsed(page: str | None) -> tuple[list[str], list[Block]]:
         furniture = parent.furniture or furniture
         main = parent.main or name in MAIN or own.endswith("main")
         layout = Layout(parent.layout) if around else parent.layout
-        open_.append(Element(name, path, furniture, main, layout))
-        tokens.append(path)
+        open_.append(Element(name, path, furniture, main, len(parent.path), layout))
+        opened.append(open_[-1])
     put(page[at:])
     blocks = [b for b in blocks if b.text]
     _judge(blocks)
-    return tokens, blocks
+    return opened, blocks
 
 
 def _furniture(name: str, own: str, parent: Element) -> tuple[bool, bool]:
@@ -219,27 +232,33 @@ def _close_implied(open_: list[Element], name: str) -> None:
             return
 
 
-COUNTS = "host string, page long, token string, n long, slot long"
+COUNTS = "host string, page long, token string, up int, main boolean, named boolean, n long, slot long"
 
 
 def _occurrences(pages: DataFrame) -> DataFrame:
-    """(host, page, token, n, slot): how often each page has the token, and a hash of its slot."""
+    """(host, page, token, up, main, named, n, slot): how often each page has the token, and a
+    hash of its slot. The first `up` characters of a token are the token it lies in; main and
+    named say whether it lies in an article or main element, or in furniture by its names."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = []
             for host, page, text in zip(rows["host"], rows["page"], rows["html"], strict=True):
-                tokens, blocks = parsed(text)
+                opened, blocks = elements(text)
                 n: dict[str, int] = {}
+                at: dict[str, tuple[int, bool, bool]] = {}
                 slots: dict[str, list[str]] = {}
-                for token in tokens:
-                    n[token] = n.get(token, 0) + 1
+                for e in opened:
+                    n[e.path] = n.get(e.path, 0) + 1
+                    up, main, named = at.get(e.path, (0, False, True))
+                    at[e.path] = (max(up, e.up), main or e.main, named and e.furniture)
                 for b in blocks:
                     slots.setdefault(b.path, []).append(b.text)
                 out += [
-                    (host, page, token, k, "\n".join(slots.get(token, ()))) for token, k in n.items()
+                    (host, page, token, *at[token], k, "\n".join(slots.get(token, ())))
+                    for token, k in n.items()
                 ]
-            yield pd.DataFrame(out, columns=["host", "page", "token", "n", "slot"])
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in COUNTS.split(", ")])
 
     raw = pages.select("host", F.xxhash64("page_id", "html").alias("page"), "html").mapInPandas(
         count, COUNTS.replace("slot long", "slot string")
@@ -248,49 +267,120 @@ def _occurrences(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, *, min_pages: int = 3, min_share: float = 0.5) -> DataFrame:
-    """(host, frame): the tokens of valid classes that are once in each page, each with whether
-    its slot has the same text on all pages. The list is
-    bounded by the size of pages: each page has at least min_share of it on average."""
+    """(host, classes, frame). classes: the valid classes, each with whether its tokens are once
+    in each page that has them, and its tokens with the share of pages whose slot has
+    the commonest text. frame: the tokens of classes that are once in each page, each with
+    whether its slot has the same text on all pages. Both are bounded by the size of pages: each
+    page has at least min_share of them on average."""
     of_host = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    vectors = (
+    # Texts are counted before tokens, so a token of very many pages is never in one task as a whole.
+    texts = (
         _occurrences(pages)
-        .groupBy("host", "token")
+        .groupBy("host", "token", "slot")
         .agg(
             F.count("*").alias("pages"),
             F.max("n").alias("most"),
             F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"),
-            (F.min("slot") == F.max("slot")).alias("same"),
+            F.max("up").alias("up"),
+            F.max("main").alias("main"),
+            F.min("named").alias("named"),
+        )
+    )
+    vectors = (
+        texts.groupBy("host", "token")
+        .agg(
+            (F.max("pages") / F.sum("pages")).alias("alike"),
+            F.sum("pages").alias("pages"),
+            F.max("most").alias("most"),
+            F.sum("vector").alias("vector"),
+            F.max("up").alias("up"),
+            F.max("main").alias("main"),
+            F.min("named").alias("named"),
         )
         .join(of_host, "host")
         .where((F.col("host_pages") >= min_pages) & (F.col("pages") >= F.col("host_pages") * min_share))
     )
     classes = vectors.groupBy("host", "vector", "pages", "most").agg(
-        F.collect_list(F.struct("token", "same")).alias("tokens")
+        F.collect_list(F.struct("token", "up", "main", "named", "alike")).alias("tokens"),
     )
-    return (
-        classes.where((F.col("most") == 1))
-        .groupBy("host")
-        .agg(F.flatten(F.collect_list("tokens")).alias("frame"))
+    found = classes.groupBy("host").agg(
+        F.collect_list(F.struct((F.col("most") == 1).alias("once"), "tokens")).alias("classes")
     )
+    once = F.flatten(F.transform(F.filter("classes", lambda c: c["once"]), lambda c: c["tokens"]))
+    same = F.transform(once, lambda x: F.struct(x["token"], (x["alike"] == 1).alias("same")))
+    return found.withColumn("frame", same)
+
+
+def fixed_slots(classes: list, same_share: float = 0.9, min_size: int = 2) -> list[str]:
+    """The tokens of a host whose text is the template's: nests the classes and judges the slots.
+
+    A class that repeats in a page is one class in each slot that its tokens lie in. One of fewer
+    than min_size tokens is none: its text belongs to the slot around it. Every other class lies
+    in the class of the token around its first token. A slot is fixed if at least same_share of
+    the pages have the same text in each part of it. The slots of a class that repeats are one
+    record: they are the template's only if they, and those of all classes nested in it, are
+    fixed, so the labels of a record stay, and so do headings and labels in article or main
+    elements. If no slot changes that the names let through, there is no telling what is
+    template: the pages are copies. The same holds for what lies in article or main elements
+    by itself."""
+    tokens = {t["token"]: t for c in classes for t in c["tokens"]}
+    class_of = {t["token"]: k for k, c in enumerate(classes) for t in c["tokens"]}
+    inwards = sorted(tokens, key=len)
+    around = {token: token[: tokens[token]["up"]] for token in inwards}
+    nested: dict[str, tuple[int, str]] = {}  # a token's class, and the slot that it repeats in
+    for token in inwards:
+        k = class_of[token]
+        if classes[k]["once"]:
+            nested[token] = (k, "")
+        elif class_of.get(around[token]) == k:
+            nested[token] = nested[around[token]]
+        else:
+            nested[token] = (k, around[token])
+    size = Counter(nested.values())
+    home: dict[str, str] = {}  # the token whose slot a token's text belongs to
+    alike: dict[str, float] = {}
+    outer: dict[tuple[int, str], tuple[int, str] | None] = {}  # the class that a class lies in
+    for token in inwards:
+        at, own = home.get(around[token]), nested[token]
+        home[token] = token if own[1] == "" or size[own] >= min_size or at is None else at
+        outer.setdefault(own, nested[at] if at else None)
+        alike[home[token]] = min(alike.get(home[token], 1.0), tokens[token]["alike"])
+
+    changing = {token for token, share in alike.items() if share < same_share}
+    records = set()  # repeating classes with a slot that changes, in them or in a class nested in them
+    for token in changing:
+        k = nested[token]
+        while k is not None:
+            if not classes[k[0]]["once"]:
+                records.add(k)
+            k = outer[k]
+    changing_main = {tokens[token]["main"] for token in changing if not tokens[token]["named"]}
+    fixed = []
+    for token, at in home.items():
+        told = bool(changing_main)
+        if tokens[token]["main"]:
+            name = token[tokens[token]["up"] + 1 :].split(".", 1)[0]
+            told = True in changing_main and name not in LABELS
+        if told and at not in changing and nested[at] not in records:
+            fixed.append(token)
+    return fixed
 
 
 def main_text(page: str | None, constant: frozenset[str]) -> str:
-    """The blocks of the remaining slots. constant: tokens whose slot is the same everywhere."""
+    """The blocks of the remaining slots. constant: tokens whose slot is the template's."""
     blocks = parsed(page)[1]
     kept = [b for b in blocks if not b.furniture]
-    inside = [b for b in kept if b.main]
-    if inside:
-        kept = inside
-    else:
-        kept = [b for b in kept if b.path not in constant]
-    return "\n\n".join(b.text for b in kept)
+    kept = [b for b in kept if b.main] or kept
+    return "\n\n".join(b.text for b in kept if b.path not in constant)
 
 
 def extracted(pages: DataFrame, **how) -> DataFrame:
     """(page_id, url, text, n_chars), a row for each row of pages."""
     scratch = Scratch(pages.sparkSession, "html")
     rows = with_address(pages, "url").select("page_id", "url", "html", "host")
-    found = scratch.put(templates(rows, **how), "templates")
+    constant_of = F.udf(lambda classes: fixed_slots(classes), "array<string>")
+    found = templates(rows, **how).select("host", constant_of("classes").alias("constant"))
+    found = scratch.put(found, "templates")
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -303,9 +393,8 @@ def extracted(pages: DataFrame, **how) -> DataFrame:
                 dtype=object,
             )
 
-    constant = F.transform(F.filter("frame", lambda x: x["same"]), lambda x: x["token"])
     return (
         rows.join(found, "host", "left")
-        .select("page_id", "url", text_of("html", constant).alias("text"))
+        .select("page_id", "url", text_of("html", "constant").alias("text"))
         .withColumn("n_chars", F.char_length("text").cast("long"))
     )

@@ -208,6 +208,48 @@ def test_template_drops_slots_that_never_change(spark):
     }
 
 
+def test_template_of_nested_classes_judges_the_slots_of_all_pages(spark):
+    links = "<div class='x'><a>Home</a><a>News</a></div><ul><li><i>About</i><li><i>Terms</i></ul>"
+    article = (
+        "<article><h1>Head {0}</h1><p>Story {0}</p><p>More {0}</p><div class='y'>Follow us</div>"
+        "<dl><dt>Born</dt><dd>{0}</dd><dt>Seen</dt><dd>{0}</dd></dl></article>"
+    )
+    story = "Head {0}\n\nStory {0}\n\nMore {0}"
+    record = "\n\nBorn\n\n{0}\n\nSeen\n\n{0}"
+    top = "<body><div class='top'>{1}</div>" + links
+    rows = []
+    for i in range(20):
+        rows.append((i, "http://art.com/", (top + article).format(i, "Site")))
+        rows.append((100 + i, "http://div.com/", (top + article.replace("article", "div")).format(i, "Site" if i else "New")))
+        rows.append((200 + i, "http://copy.com/", (top + article).format(7, "Site")))
+        rows.append((300 + i, "http://copies.com/", "<body><p>One story<p>Its end"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in html.extracted(pages).collect()}
+    for i in range(20):
+        assert got[i] == got[100 + i] == (story + record).format(i)
+        assert got[200 + i] == (story + "\n\nFollow us" + record).format(7)
+        assert got[300 + i] == "One story\n\nIts end"
+
+
+def test_nested_classes():
+    def once(*tokens, n=True):
+        keys = ("token", "up", "main", "named", "alike")
+        return {"once": n, "tokens": [dict(zip(keys, t, strict=True)) for t in tokens]}
+
+    row = ("/b/r", 2, False, False, 1.0), ("/b/r/l", 4, False, False, 1.0)
+    cell = ("/b/r/c", 4, False, False, 0.1), ("/b/r/c/i", 6, False, False, 1.0)
+    foot = ("/b/f", 2, False, False, 1.0)
+    root = once(("/b", 0, False, False, 1.0), foot)
+    # The row's slots never change, but those of the class nested in it do.
+    assert sorted(html.fixed_slots([root, once(*row, n=False), once(*cell, n=False)])) == ["/b", "/b/f"]
+    # A lone token is part of the slot around it, which changes with it.
+    assert html.fixed_slots([root, once(cell[0], n=False)]) == ["/b", "/b/f"]
+    lone = ("/b/f/x", 4, False, False, 0.1)
+    assert html.fixed_slots([root, once(lone, n=False)]) == ["/b"]
+    # Nothing changes but what is furniture by its name: copies.
+    assert html.fixed_slots([root, once(("/b/n", 2, False, True, 0.1))]) == []
+
+
 @pytest.mark.parametrize(
     ("page", "want"),
     [
