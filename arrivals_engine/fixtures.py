@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrivals_engine.functions.dates import DAY_ZERO
+from arrivals_engine.operators.quality import MOST_BROADCAST_KEYS
 
 
 class Tables:
@@ -39,6 +40,9 @@ def raw_arrivals(t: Tables) -> DataFrame:
         F.col("o_orderdate").cast("date").alias("day"),
     )
     customers = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    # Counted, as Spark guesses their size from compressed files: a million would be broadcast.
+    if customers.count() > MOST_BROADCAST_KEYS:
+        customers = customers.hint("merge")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     number = F.datediff(F.col("day"), F.lit(DAY_ZERO).cast("date"))

@@ -9,7 +9,7 @@ import pytest
 from helpers import arrivals, lookups, plan, rows
 
 from arrivals_engine import catalogue, schemas
-from arrivals_engine.fixtures import Tables
+from arrivals_engine.fixtures import Tables, raw_arrivals
 from arrivals_engine.operators import quality
 from arrivals_engine.plans import star
 
@@ -241,3 +241,21 @@ def test_totals_that_differ_beyond_the_kept_digits_fail_the_key_check(spark):
 def test_tables_open_once(spark):
     t = Tables(spark, SF_DIR)
     assert t.nation is t.nation
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_many_customers_are_merged_however_small_their_files(spark, tmp_path, many):
+    """As the driver would gather them all for a broadcast, each time arrivals are read."""
+    n = quality.MOST_BROADCAST_KEYS + 1 if many else 10
+    spark.range(n).selectExpr(
+        "id AS c_custkey", "CAST(id % 25 AS int) AS c_nationkey", "'NO' AS c_mktsegment"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(
+        [(1, 3, "O", "1-U"), (2, n - 1, "F", "2-H"), (3, n, "F", "2-H"), (4, None, "F", "2-H")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+    ).selectExpr("*", "TIMESTAMP '1995-02-01' AS o_orderdate").write.parquet(
+        f"{tmp_path}/orders.parquet"
+    )
+    raw = raw_arrivals(Tables(spark, str(tmp_path)))
+    assert ("BroadcastHashJoin" in plan(raw)) != many
+    assert rows(raw.select("admnum", "i94cit")) == [(1.0, 3.0), (2.0, float((n - 1) % 25))]
