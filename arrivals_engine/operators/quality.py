@@ -194,18 +194,44 @@ def gate_batch(
     sample: int = 5,
 ) -> None:
     """The gate on a batch's report. Keys are looked for only in tables that did not pass."""
-    failed = batch_report(tables, checks).filter(~F.col("passed")).select("table_name").distinct()
+    failed = batch_report(tables, checks).filter(~F.col("passed")).select("table_name")
     names = {row[0] for row in failed.collect()}
     if names:
         gate(batch_report([(r, t) for r, t in tables if t.name in names], checks, sample))
 
 
+@dataclass(frozen=True)
+class HeldMonths:
+    """How many rows a batch has, and its months, each with a month of arrival of its rows."""
+
+    n_rows: int
+    pairs: frozenset[tuple[int | None, int | None]]
+
+    @property
+    def own(self) -> list[int]:
+        return sorted({month for month, _ in self.pairs if month is not None})
+
+    @property
+    def arrival(self) -> list[int]:
+        return sorted({month for _, month in self.pairs if month is not None})
+
+
+def held_months(rows: DataFrame) -> HeldMonths:
+    """One job, which gathers no more pairs than there are partitions of the key index."""
+    month = month_of(F.col("arrival_date")).alias("arrival_month")
+    held = rows.groupBy("year_month", month).agg(F.count(F.lit(1)).alias("n")).collect()
+    return HeldMonths(
+        sum(r["n"] for r in held), frozenset((r["year_month"], r["arrival_month"]) for r in held)
+    )
+
+
 def collision_report(
     rows: DataFrame,
     known: DataFrame,
     table: schemas.Table,
     other_months: bool = False,
     sample: int = 0,
+    held: HeldMonths | None = None,
 ) -> DataFrame:
     """One report row: keys of a batch that the published table already has, with
     `other_months` in months that the batch does not hold.
@@ -213,26 +239,20 @@ def collision_report(
     known is the key index, or any rows with the key. Of the index only partitions with the
     batch's months of arrival are read, and with `other_months` not those of its own months; a missing day is 1960-01-01, so
     the month of that day is read too if the batch has such rows. Of a batch, these months
-    are gathered, of which there are no more than the calendar has, and its rows counted: Spark
-    guesses the size of a few columns from compressed files, and would broadcast many millions
-    of keys.
+    are gathered, of which there are no more than the calendar has, and its rows counted, unless
+    they are given as `held`: Spark guesses the size of a few columns from compressed files, and
+    would broadcast many millions of keys.
     """
     key = list(table.key)
     own_keys = rows.select(*key)
     if "arrival_month" not in known.columns:
         own_keys = own_keys.hint("merge")
     else:
-        months = rows.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.collect_set(month_of(F.col("arrival_date"))).alias("arrival"),
-            F.collect_set("year_month").alias("own"),
-        ).first()
-        known = known.filter(
-            F.col("arrival_month").isin(months["arrival"]) & F.col(f"in_{table.name}")
-        )
+        held = held or held_months(rows)
+        known = known.filter(F.col("arrival_month").isin(held.arrival) & F.col(f"in_{table.name}"))
         if other_months:
-            known = known.filter(~F.col("year_month").isin(months["own"]))
-        if months["n"] > MOST_BROADCAST_KEYS:
+            known = known.filter(~F.col("year_month").isin(held.own))
+        if held.n_rows > MOST_BROADCAST_KEYS:
             own_keys = own_keys.hint("merge")
     hits = known.select(*key).join(own_keys, key, "left_semi").distinct()
     counted = hits.agg(F.count(F.lit(1)).alias("value"))

@@ -14,12 +14,14 @@ from arrivals_engine.operators.decode import Lookups
 from arrivals_engine.operators.quality import (
     ALL_CHECKS,
     PUBLISH_CHECKS,
+    HeldMonths,
     LoadCounts,
     LoadWatch,
     QualityError,
     collision_report,
     gate,
     gate_batch,
+    held_months,
     limit_rejected,
     union_all,
 )
@@ -122,11 +124,6 @@ def json_batch(
     )
 
 
-def _months(batch: Batch) -> list[int]:
-    """The months of a batch, each a partition of the published tables."""
-    return [row[0] for row in batch.fact.select("year_month").distinct().collect()]
-
-
 def _gate_months(batch: Batch) -> None:
     """Fact and visitors must hold the same months, as a month is replaced in both."""
     held = batch.fact.select("year_month").distinct()
@@ -136,14 +133,31 @@ def _gate_months(batch: Batch) -> None:
         raise QualityError(f"fact and visitors differ in months: {sorted(r[0] for r in odd)}")
 
 
-def _gate_new_keys(spark: SparkSession, db: str, batch: Batch, mode: str) -> None:
-    index = spark.table(f"{db}.{schemas.VISIT_KEYS.name}")
+def _gate_new_keys(
+    spark: SparkSession, db: str, batch: Batch, mode: str, held: HeldMonths
+) -> None:
+    name = f"{db}.{schemas.VISIT_KEYS.name}"
+    if batch.same_keys:
+        arrival, own = map(set, (map(str, held.arrival), map(str, held.own)))
+        if not any(
+            p["arrival_month"] in arrival and (mode == "append" or p["year_month"] not in own)
+            for p in tables.partitions(spark, name)
+        ):
+            return  # the index has no partition that could hold one of the keys
+    index = spark.table(name)
     keyed = [(rows, table) for rows, table in batch.tables() if table.key == schemas.VISIT_KEY]
 
     def report(sample: int) -> DataFrame:
         return union_all(
             [
-                collision_report(rows, index, table, mode == "replace", sample)
+                collision_report(
+                    rows,
+                    index,
+                    table,
+                    mode == "replace",
+                    sample,
+                    held if table is schemas.VISITOR_ANALYSIS else None,
+                )
                 for rows, table in (keyed[:1] if batch.same_keys else keyed)
             ]
         )
@@ -182,23 +196,23 @@ def _put(spark: SparkSession, db: str, rows: DataFrame, table: schemas.Table, mo
     put(spark, rows, f"{db}.{table.name}")
 
 
-def _put_keys(spark: SparkSession, db: str, batch: Batch, mode: str, months: list[int]) -> None:
+def _put_keys(spark: SparkSession, db: str, batch: Batch, mode: str, held: HeldMonths) -> None:
     """New keys are there before those they take the place of go: a publish that is broken off
-    leaves too many keys, not too few."""
+    leaves too many keys, not too few. Those are whole partitions of the index, so the list of
+    these tells them."""
     keys = _keys(batch)
     _put(spark, db, keys, schemas.VISIT_KEYS, mode)
     if mode == "replace":
         name = f"{db}.{schemas.VISIT_KEYS.name}"
-        now = keys.select("year_month", "arrival_month").distinct().collect()
-        held = {month: set() for month in months}
-        for row in now:
-            held[row["year_month"]].add(row["arrival_month"])
-        shown = spark.table(name).filter(F.col("year_month").isin(months))
-        for row in shown.select("year_month", "arrival_month").distinct().collect():
-            if row["arrival_month"] not in held[row["year_month"]]:
-                tables.drop_partitions(
-                    spark, name, year_month=[row["year_month"]], arrival_month=[row["arrival_month"]]
-                )
+        months = {str(month) for month in held.own}
+        now = held if batch.same_keys else held_months(keys)
+        filled = {(str(month), str(arrival)) for month, arrival in now.pairs}
+        gone = [
+            p
+            for p in tables.partitions(spark, name)
+            if p["year_month"] in months and (p["year_month"], p["arrival_month"]) not in filled
+        ]
+        tables.drop_listed(spark, name, gone)
 
 
 def _merge_counts(spark: SparkSession, db: str, fact: DataFrame, gone: list[int] | None) -> None:
@@ -249,18 +263,18 @@ def publish_batch(
     gate_batch(batch.tables(), checks)
     if not batch.same_keys:
         _gate_months(batch)
-    _gate_new_keys(spark, db, batch, mode)
+    held = held_months(batch.fact)
+    _gate_new_keys(spark, db, batch, mode, held)
 
     dates_name = f"{db}.{schemas.ARRIVAL_DATE.name}"
     known = spark.table(dates_name).select("arrival_date")
     tables.append_rows(
         spark, batch.arrival_date.join(known, "arrival_date", "left_anti"), dates_name
     )
-    months = _months(batch)
-    _put_keys(spark, db, batch, mode, months)
+    _put_keys(spark, db, batch, mode, held)
     _put(spark, db, batch.visitors, schemas.VISITORS, mode)
     _put(spark, db, batch.fact, schemas.VISITOR_ANALYSIS, mode)
-    _merge_counts(spark, db, batch.fact, months if mode == "replace" else [])
+    _merge_counts(spark, db, batch.fact, held.own if mode == "replace" else [])
     if mode == "replace":
         _drop_dates_without_visits(spark, db)
 

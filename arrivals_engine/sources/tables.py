@@ -58,9 +58,10 @@ def drop_tables(spark: SparkSession, db: str) -> None:
 
 
 def bucket_count(spark: SparkSession, db: str, table: schemas.Table) -> int | None:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{table.name}")
-    found = described.filter("col_name = 'Num Buckets'").select("data_type").collect()
-    return int(found[0][0]) if found and int(found[0][0]) > 0 else None
+    # A filter on the lines would make a Spark job of it.
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{table.name}").collect()
+    found = [int(r["data_type"]) for r in described if r["col_name"] == "Num Buckets"]
+    return found[0] if found and found[0] > 0 else None
 
 
 @contextmanager
@@ -99,17 +100,29 @@ def replace_whole(spark: SparkSession, new: dict[str, DataFrame]) -> None:
         spark.catalog.refreshTable(name)
 
 
+def partitions(spark: SparkSession, full_name: str) -> list[dict[str, str]]:
+    """The partitions of a table, each as its values by column, told without a job."""
+    shown = spark.sql(f"SHOW PARTITIONS {full_name}").collect()
+    return [dict(part.split("=", 1) for part in row[0].split("/")) for row in shown]
+
+
+def drop_listed(spark: SparkSession, full_name: str, listed: list[dict[str, str]]) -> None:
+    """These of the partitions of a table."""
+    if listed:
+        specs = [", ".join(f"{name}='{value}'" for name, value in spec.items()) for spec in listed]
+        dropped = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {full_name} DROP IF EXISTS {dropped}")
+
+
 def drop_partitions(spark: SparkSession, full_name: str, **values: list) -> None:
     """The partitions of a table that have one of the values in each of the given columns."""
     wanted = {name: {str(v) for v in some} for name, some in values.items()}
-    specs = []
-    for row in spark.sql(f"SHOW PARTITIONS {full_name}").collect():
-        spec = dict(part.split("=", 1) for part in row[0].split("/"))
-        if all(spec[name] in some for name, some in wanted.items()):
-            specs.append(", ".join(f"{name}='{value}'" for name, value in spec.items()))
-    if specs:
-        dropped = ", ".join(f"PARTITION ({spec})" for spec in specs)
-        spark.sql(f"ALTER TABLE {full_name} DROP IF EXISTS {dropped}")
+    listed = [
+        spec
+        for spec in partitions(spark, full_name)
+        if all(spec[name] in some for name, some in wanted.items())
+    ]
+    drop_listed(spark, full_name, listed)
 
 
 def replace_rows(spark: SparkSession, rows: DataFrame, full_name: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
+from uuid import uuid4
 
 import pytest
 from helpers import arrivals, lookups, plan, rows
@@ -14,7 +15,7 @@ from arrivals_engine.catalogue import new_warehouse
 from arrivals_engine.operators import clean, quality
 from arrivals_engine.operators.quality import QualityError
 from arrivals_engine.plans import publish, star
-from arrivals_engine.sources import readers
+from arrivals_engine.sources import readers, tables
 
 
 @pytest.fixture
@@ -261,3 +262,42 @@ def test_distinct_by_digest(spark, monkeypatch):
     # One digest for all: all rows are compared as a whole.
     monkeypatch.setattr(clean.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
     assert rows(clean.distinct_rows_by_digest(raw)) == want
+
+
+# ---- work of the driver ---------------------------------------------------
+
+
+def jobs_of(spark, work):
+    """How many Spark jobs that takes."""
+    context, group = spark.sparkContext, uuid4().hex
+    context.setJobGroup(group, "counted")
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_partitions_and_buckets_are_told_without_a_job(spark, db):
+    load(spark, db, {}, {"admnum": 2.0} | MARCH)
+    index = f"{db}.{schemas.VISIT_KEYS.name}"
+    assert jobs_of(spark, lambda: tables.bucket_count(spark, db, schemas.VISITORS)) == 0
+    assert jobs_of(spark, lambda: tables.partitions(spark, index)) == 0
+    assert [p["year_month"] for p in tables.partitions(spark, index)] == ["201602", "201603"]
+
+
+@pytest.mark.parametrize("mode", ["replace", "append"])
+def test_a_batch_of_new_months_reads_no_key_index(spark, db, mode):
+    load(spark, db, {})
+    for file in spark.table(f"{db}.visit_keys").inputFiles():
+        with open(urlparse(file).path, "wb") as broken:
+            broken.write(b"no parquet")
+    load(spark, db, {"admnum": 2.0} | MARCH, mode=mode)
+    assert rows(spark.table(f"{db}.visitor_analysis").select("admission_id")) == [(1,), (2,)]
+
+
+def test_a_publish_takes_few_jobs(spark, db):
+    """Each job, and each stage, has the driver make broadcasts of several MB."""
+    visits = star.build_visits(arrivals(spark, {}, {"admnum": 2.0} | MARCH), lookups(spark))
+    batch = publish.stage_visits(spark, db, visits)
+    assert jobs_of(spark, lambda: publish.publish_batch(spark, db, batch)) <= 24  # once 35
