@@ -12,16 +12,18 @@ all pairs:
    shares with any partner, so it meets each partner at another one. What many texts quote
    is thus left out, unless a text is made of it.
 3. Each class is paired with one class of each of its elements only, that with the commonest
-   elements, so a large group of near copies gives about as many pairs as it has members.
+   prefix as a whole, so a large group of near copies gives about as many pairs as it has
+   members: with the text that they are copies of, or the one that is the nearest to it.
 4. Classes that share an element of at most ``hot`` classes, and that are in different
    components so far, are paired. Pairs of both kinds that share too few elements for what is
    left of the sets to make up for it are dropped. For the others, the sets that one class is
    paired with are stored in a radix tree, in chunks of bounded size. Its own set goes down
    the tree once: what several sets begin with is compared once, and a subtree is left as soon
    as the elements left cannot reach the needed intersection.
-5. Classes that are connected by other elements are searched in pairs of blocks, one in a tree,
-   without pairing blocks of one component. So the work on a group of near copies is the
-   number of those that the steps before did not connect times its size.
+5. Classes that are connected by other elements are searched in pairs of blocks, without pairing
+   blocks of one component. So the work on a group of near copies is the number of those that
+   the steps before did not connect times its size. Intersections of two blocks are counted
+   all at once, as a product of matrices whose columns are the elements that both have.
 
 All steps are joins and counts on hashed keys; the result is exact, whatever ``hot`` is. Only
 classes with enough shared elements have their sets made again and shuffled.
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,15 +52,13 @@ SHINGLE = 5
 PERCENT = 80
 
 _TABLE = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-class WordHashes(dict):
-    """64-bit hashes of words, each made once while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
-        self[word] = found
-        return found
+
+
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes, SipHash with the same key everywhere."""
+    cells = np.empty(len(words), object)
+    cells[:] = words
+    return hash_array(cells, categorize=False)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,18 +72,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _PLACES = _mixed(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_set(text: str | None, known: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None) -> np.ndarray:
     """The sorted hashes of the distinct shingles."""
     # For bytes, split() without arguments splits at the six ASCII white-space characters.
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     if not words:
         return np.zeros(0, np.int64)
-    hashes = np.fromiter(map(known.__getitem__, words), np.int64, len(words)).view(np.uint64)
+    hashes = _word_hashes(words)
     size = min(SHINGLE, len(words))
     total = np.full(len(words) - size + 1, size, np.uint64)
     for k in range(size):
         total += hashes[k : len(words) - size + 1 + k] * _PLACES[k]
-    return np.unique(_mixed(total).view(np.int64))
+    tokens = np.sort(_mixed(total).view(np.int64))
+    first = np.ones(len(tokens), bool)
+    np.not_equal(tokens[1:], tokens[:-1], out=first[1:])
+    return tokens[first]  # which np.unique gives too, more slowly
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -166,6 +170,41 @@ class RadixTree:
         return found
 
 
+#: Cells of a matrix that ``shared_counts`` makes at a time.
+CELLS = 2**20
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of left has in common with each one of right."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    width = max(1, CELLS // max(len(left), len(right)))
+    one, two = _cells(left, both), _cells(right, both)
+    counts = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, len(both), width):
+        # Sums of at most ``width`` ones, which float32 holds exactly.
+        product = _matrix(*one, len(left), start, width) @ _matrix(*two, len(right), start, width).T
+        counts += product.astype(np.int64)
+    return counts
+
+
+def _cells(sets: list[np.ndarray], both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows and, in order, the columns of the sets' elements that are in both."""
+    tokens = np.concatenate(sets)
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    known = np.isin(tokens, both)
+    columns = np.searchsorted(both, tokens[known])
+    order = np.argsort(columns)
+    return rows[known][order], columns[order]
+
+
+def _matrix(rows: np.ndarray, columns: np.ndarray, height: int, start: int, width: int) -> np.ndarray:
+    """1 where a set has an element, for ``width`` columns from start on."""
+    a, b = np.searchsorted(columns, [start, start + width])
+    matrix = np.zeros((height, width), np.float32)
+    matrix[rows[a:b], columns[a:b] - start] = 1
+    return matrix
+
+
 SETS = (
     "doc_id long, rep string, n long, sig binary, prefix array<long>, least long, last long"
 )
@@ -184,11 +223,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame) -> DataFrame:
     @then_release
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for rows in batches:
             out = []
             for text in rows["text"]:
-                tokens = shingle_set(text, known)
+                tokens = shingle_set(text)
                 n = len(tokens)
                 prefix = tokens[: prefix_size(n)]
                 last = int(prefix[-1]) if n else 0
@@ -204,11 +242,10 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     @then_release
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
         for rows in batches:
             nodes, sets = [], []
             for node, sig, text in zip(rows["node"], rows["sig"], rows["text"], strict=True):
-                tokens = shingle_set(text, known)
+                tokens = shingle_set(text)
                 if signature(tokens) == bytes(sig):
                     nodes.append(node)
                     sets.append(tokens)
@@ -316,8 +353,8 @@ def _members(docs: DataFrame, hot: int, chunk: int, block: int) -> DataFrame:
     scratch.drop("shared")
     sets = scratch.put(_whole_sets(docs, able.select("node", "sig", "rep")), "able_sets")
 
-    # The leader of an element is the class whose elements are the most common: the text
-    # that others are copies of, rather than one of the copies.
+    # The leader of an element is the class whose prefix is the most common: the text that
+    # others are copies of, rather than one of the copies.
     leaders = used.groupBy("token").agg(
         F.max_by("node", F.struct("weight", -F.col("node"))).alias("a")
     )
@@ -358,14 +395,17 @@ def _search_space(shared: DataFrame, classes: DataFrame, hot: int, scratch: Scra
     links at all. ``limit``: elements of more classes are left out; n_out is their number."""
     per_node = shared.groupBy("node").agg(
         F.sort_array(F.collect_list("count"), asc=False).alias("counts"),  # as many as its prefix
-        F.avg("count").alias("weight"),
+        F.sum("count").alias("common"),
     )
     able = (
         classes.join(per_node, "node")
+        # Over the whole prefix: else a copy that has lost the rarer elements of its text, and
+        # has others that are its own instead, would seem the more common of the two.
+        .withColumn("weight", F.col("common") / F.col("size"))
         .where(F.size("counts") >= F.col("least"))
         .withColumn("limit", F.element_at("counts", F.col("least").cast("int")))
         .withColumn("n_out", F.size(F.filter("counts", lambda x: x > F.col("limit"))))
-        .drop("counts")
+        .drop("counts", "common")
     )
     able = scratch.put(able, "able")
     kept = shared.join(able.select("node", "limit", "weight"), "node")
@@ -458,19 +498,7 @@ def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     @then_release
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for members in _by_blocks(batches):
-            tree, parts, found = RadixTree(), {}, []
-            joined: dict[int, int] = {}  # towards the component that a component is joined to
-            both = members[-1][0] == 1
-            for side, node, part, tokens in members:
-                for b in tree.linked(tokens) if side == 1 or not both else ():
-                    p, q = _end(joined, part), _end(joined, parts[b])
-                    if p != q:
-                        joined[p] = q
-                        found.append((node, b))
-                if side == 0:
-                    tree.add(tokens, node)
-                    parts[node] = part
-            yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+            yield pd.DataFrame(_joining(members), columns=["a", "b"], dtype=np.int64)
 
     return (
         rows.join(sets.dropDuplicates(["node"]), "node")
@@ -480,10 +508,27 @@ def _linked_in_blocks(rows: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _end(joined: dict[int, int], part: int) -> int:
-    while part in joined:
-        joined[part] = part = joined.get(joined[part], joined[part])
-    return part
+def _joining(members: list[tuple]) -> list[tuple[int, int]]:
+    """As many linked nodes (a, b) of the (side, node, part, tokens) as join their parts. If there
+    are two sides, b is of the other one."""
+    left = [m for m in members if m[0] == 0]
+    right = [m for m in members if m[0] == 1] or left
+    if not left:
+        return []
+    one, two = [m[3] for m in left], [m[3] for m in right]
+    sizes = np.add.outer([len(x) for x in one], [len(x) for x in two])
+    linked = shared_counts(one, two) * (100 + PERCENT) >= sizes * PERCENT
+    parts, others = (np.array([m[2] for m in side], np.int64) for side in (left, right))
+    found = []
+    for k, row in enumerate(linked):
+        mine = parts[k]
+        near = np.flatnonzero(row & (others != mine))
+        if len(near):
+            joined, first = np.unique(others[near], return_index=True)
+            found += [(left[k][1], right[j][1]) for j in near[first]]
+            parts[np.isin(parts, joined)] = mine
+            others[np.isin(others, joined)] = mine
+    return found
 
 
 def _by_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:

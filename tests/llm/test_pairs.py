@@ -101,6 +101,74 @@ def test_tree_finds_what_pairs_find():
             assert sorted(tree.linked(probe)) == want
 
 
+@pytest.mark.parametrize("cells", [1, 50, 2**20])
+def test_shared_elements_of_all_pairs_are_counted(monkeypatch, cells):
+    monkeypatch.setattr(shingles, "CELLS", cells)
+    rng = np.random.default_rng(cells)
+    some = lambda k: [np.unique(rng.integers(-90, 90, rng.integers(1, 80))) for _ in range(k)]
+    for left, right in ((some(9), some(4)), (some(1), some(7)), ([np.array([5])], [np.array([6, 7])])):
+        want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
+        assert shingles.shared_counts(left, right).tolist() == want
+
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_links_of_blocks_join_the_parts_that_linked_pairs_join(two_sides):
+    rng = random.Random(3)
+    for _ in range(30):
+        bases = [rng.sample(range(10**6), 30) for _ in range(4)]
+        members = []
+        for node in range(24):
+            base = bases[node % 4]
+            tokens = {*rng.sample(base, 30 - rng.randrange(9)), *rng.sample(range(10**6), rng.randrange(4))}
+            members.append((node % 2 if two_sides else 0, node, rng.randrange(100, 116), np.array(sorted(tokens))))
+        pairs = [
+            (a, b)
+            for a, b in itertools.combinations(members, 2)
+            if (a[0] != b[0] or not two_sides)
+            and 100 * len({*a[3]} & {*b[3]}) >= 80 * len({*a[3]} | {*b[3]})
+        ]
+        found = shingles._joining(sorted(members, key=lambda m: m[:2]))
+        linked = {frozenset((a[1], b[1])) for a, b in pairs}
+        assert {frozenset(x) for x in found} <= linked
+        part = {m[1]: m[2] for m in members}
+        ends = lambda links: joined_parts(part, [tuple(x) for x in links])
+        assert ends(found) == ends(linked)
+        assert len(found) == len(set(part.values())) - len(set(ends(linked).values()))
+
+
+def joined_parts(part, links):
+    end = {p: p for p in part.values()}
+    for a, b in links:
+        p, q = sorted((end[part[a]], end[part[b]]))
+        end = {k: p if v == q else v for k, v in end.items()}
+    return end
+
+
+def test_copies_meet_their_text_before_blocks_are_searched(spark, monkeypatch):
+    """The text, not a part of it in another text, whose elements are the commonest on average."""
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 31):
+        copy = list(base)
+        for place in rng.sample(range(100, 200), 2):
+            copy[place] = f"c{k}x{place}"
+        rows.append((k, " ".join(copy)))
+    for k in range(31, 34):
+        rows.append((k, " ".join(base[:100] + [f"d{k}x{place}" for place in range(100)])))
+    seen = []
+    blocks = shingles._blocks
+
+    def counted(used, label, *rest):
+        seen.append(label.count())
+        return blocks(used, label, *rest)
+
+    monkeypatch.setattr(shingles, "_blocks", counted)
+    got = shingles.components(frame(spark, rows), hot=2).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute_components(rows), key=key)
+    assert seen == [30]
+
+
 def test_linked_sets_share_as_much_of_their_prefixes_as_is_said():
     rng = np.random.default_rng(9)
     for n in [*range(1, 60), 100, 333]:
