@@ -174,37 +174,35 @@ class RadixTree:
 CELLS = 2**20
 
 
-def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many elements each set of left has in common with each one of right."""
-    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
-    width = max(1, CELLS // max(len(left), len(right)))
-    one, two = _cells(left, both), _cells(right, both)
-    counts = np.zeros((len(left), len(right)), np.int64)
-    for start in range(0, len(both), width):
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many elements each set of left has in common with each one of right; without right,
+    with each other one of left, the diagonal being of no use."""
+    sets = [*left, *(right or ())]
+    tokens = np.concatenate(sets)
+    order = np.argsort(tokens)
+    tokens = tokens[order]
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+    starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    times = np.diff(starts, append=len(tokens))
+    if right is None:
+        wanted = times > 1
+    else:
+        first, last = np.minimum.reduceat(rows, starts), np.maximum.reduceat(rows, starts)
+        wanted = (first < len(left)) & (last >= len(left))
+    keep = np.repeat(wanted, times)
+    rows, columns = rows[keep], np.repeat(np.cumsum(wanted) - 1, times)[keep]
+    n = int(wanted.sum())
+    width = max(1, CELLS // len(sets))
+    counts = np.zeros((len(left), len(right or left)), np.int64)
+    for start in range(0, n, width):
+        a, b = np.searchsorted(columns, [start, start + width])
+        has = np.zeros((len(sets), min(width, n - start)), np.float32)
+        has[rows[a:b], columns[a:b] - start] = 1
         # Sums of at most ``width`` ones, which float32 holds exactly.
-        product = _matrix(*one, len(left), start, width) @ _matrix(*two, len(right), start, width).T
-        counts += product.astype(np.int64)
+        counts += (has[: len(left)] @ has[len(left) if right else 0 :].T).astype(np.int64)
     return counts
 
 
-def _cells(sets: list[np.ndarray], both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows and, in order, the columns of the sets' elements that are in both."""
-    tokens = np.concatenate(sets)
-    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    known = np.isin(tokens, both)
-    columns = np.searchsorted(both, tokens[known])
-    order = np.argsort(columns)
-    return rows[known][order], columns[order]
-
-
-def _matrix(rows: np.ndarray, columns: np.ndarray, height: int, start: int, width: int) -> np.ndarray:
-    """1 where a set has an element, for ``width`` columns from start on."""
-    a, b = np.searchsorted(columns, [start, start + width])
-    matrix = np.zeros((height, width), np.float32)
-    matrix[rows[a:b], columns[a:b] - start] = 1
-    return matrix
-
-
 SETS = (
     "doc_id long, rep string, n long, sig binary, prefix array<long>, least long, last long"
 )
@@ -515,9 +513,9 @@ def _joining(members: list[tuple]) -> list[tuple[int, int]]:
     right = [m for m in members if m[0] == 1] or left
     if not left:
         return []
-    one, two = [m[3] for m in left], [m[3] for m in right]
-    sizes = np.add.outer([len(x) for x in one], [len(x) for x in two])
-    linked = shared_counts(one, two) * (100 + PERCENT) >= sizes * PERCENT
+    counts = shared_counts([m[3] for m in left], None if right is left else [m[3] for m in right])
+    sizes = np.add.outer([len(m[3]) for m in left], [len(m[3]) for m in right])
+    linked = counts * (100 + PERCENT) >= sizes * PERCENT
     parts, others = (np.array([m[2] for m in side], np.int64) for side in (left, right))
     found = []
     for k, row in enumerate(linked):

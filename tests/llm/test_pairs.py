@@ -109,6 +109,11 @@ def test_shared_elements_of_all_pairs_are_counted(monkeypatch, cells):
     for left, right in ((some(9), some(4)), (some(1), some(7)), ([np.array([5])], [np.array([6, 7])])):
         want = [[len(np.intersect1d(a, b)) for b in right] for a in left]
         assert shingles.shared_counts(left, right).tolist() == want
+        among = shingles.shared_counts(left)
+        for (i, a), (j, b) in itertools.permutations(enumerate(left), 2):
+            assert among[i, j] == len(np.intersect1d(a, b))
+    ends = [np.array([-(2**63), 0, 2**63 - 1]), np.array([-(2**63), 2**63 - 1])]
+    assert shingles.shared_counts(ends, ends[:1]).tolist() == [[3], [2]]
 
 
 @pytest.mark.parametrize("two_sides", [False, True])
